@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import quality
+from inkspan.llm import ocr, quality
 from inkspan.session import table
 
 
@@ -21,5 +21,16 @@ def p1_statistics(spark: SparkSession, d: str) -> DataFrame:
     return of[0].unionByName(of[1])
 
 
-QUERIES = {"p1_found": p1_found, "p1_statistics": p1_statistics}
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Noise by line of the issues that are prose."""
+    pages = ocr.repair_pages(table(spark, d, "issues"), "seq", "raw_text", "newspaper")
+    return pages.where("verdict <> 'not_prose'").select("seq", F.explode("noise").alias("x")).select("seq", "x.line_no", "x.noise")
+
+
+def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every issue's text in continuous paragraphs."""
+    return ocr.repair_pages(table(spark, d, "issues"), "seq", "raw_text", "newspaper").select("seq", "repaired", "verdict")
+
+
+QUERIES = {"p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired}
 SQL: dict[str, str] = {}
