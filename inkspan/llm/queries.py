@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import ocr, quality
+from inkspan.llm import ocr, quality, repeats
 from inkspan.session import table
 
 
@@ -32,5 +32,25 @@ def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
     return ocr.repair_pages(table(spark, d, "issues"), "seq", "raw_text", "newspaper").select("seq", "repaired", "verdict")
 
 
-QUERIES = {"p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired}
+P5 = ("seq", "raw_text", "newspaper", "record_id")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Lines that a newspaper repeats in many of its issues."""
+    return repeats.repeated_lines(table(spark, d, "issues"), *P5).select(F.col("doc").alias("seq"), "line_no")
+
+
+def p5_sequences(spark: SparkSession, d: str) -> DataFrame:
+    """The frequent sequences of repeated lines by newspaper, with their support."""
+    frequent, occurrences = repeats.frequent_wordings(table(spark, d, "issues"), *P5)
+    return repeats.prefix_span(occurrences, frequent).withColumnRenamed("source", "newspaper")
+
+
+def p5_cleaned(spark: SparkSession, d: str) -> DataFrame:
+    """Every issue's text without the repeated lines."""
+    issues = table(spark, d, "issues")
+    return repeats.without_lines(issues, "seq", "raw_text", repeats.repeated_lines(issues, *P5))
+
+
+QUERIES = {"p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_sequences": p5_sequences, "p5_cleaned": p5_cleaned}
 SQL: dict[str, str] = {}
