@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import ocr, quality, repeats
+from inkspan.llm import ocr, quality, repeats, split
 from inkspan.session import table
 
 
@@ -32,6 +32,16 @@ def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
     return ocr.repair_pages(table(spark, d, "issues"), "seq", "raw_text", "newspaper").select("seq", "repaired", "verdict")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Oversized issues with the best boundary that suffices."""
+    return split.boundary_levels(table(spark, d, "issues"), "seq", "raw_text").select(F.col("item").alias("seq"), "boundary")
+
+
+def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """All issues in pieces of at most 4,000 characters that overlap by 200."""
+    return split.split_texts(table(spark, d, "issues"), "seq", "raw_text").withColumnRenamed("item", "seq")
+
+
 P5 = ("seq", "raw_text", "newspaper", "record_id")
 
 
@@ -52,5 +62,5 @@ def p5_cleaned(spark: SparkSession, d: str) -> DataFrame:
     return repeats.without_lines(issues, "seq", "raw_text", repeats.repeated_lines(issues, *P5))
 
 
-QUERIES = {"p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_sequences": p5_sequences, "p5_cleaned": p5_cleaned}
+QUERIES = {"p4_found": p4_found, "p4_pieces": p4_pieces, "p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_sequences": p5_sequences, "p5_cleaned": p5_cleaned}
 SQL: dict[str, str] = {}
