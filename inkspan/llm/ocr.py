@@ -49,6 +49,8 @@ PRIOR = 0.0013
 #: What a word that misreadings could explain is still given as a word of its own.
 DOUBT = 0.01
 LOG_DOUBT = math.log(DOUBT)
+#: Letters up to which a word is searched for two misreadings at once; no language has longer ones in numbers.
+LONGEST = 32
 LINE_SCHEMA = "line_no int,noise string"
 
 
@@ -240,7 +242,7 @@ class Decoder:
                 n = self.count.get(v, 0)
                 if n >= 3 and v.isalpha() and (odd or n > own and own <= SLACK + EXCESS * p * n and (len(w) > 2 or own * 50 < n)):
                     out[v] = max(out.get(v, -99.0), math.log(p))
-            if not out and (odd or own < MIN_COUNT + 1) and len(w) > 4:
+            if not out and (odd or own < MIN_COUNT + 1) and 4 < len(w) <= LONGEST:
                 for u, p in self.variants(w):
                     for v, q in self.variants(u):
                         if v != w and self.count.get(v, 0) >= 20 and v.isalpha():
