@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +58,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="inkspan-checkpoint-")
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package where neither PYTHONPATH nor an installation does.
+
+    Spark's own file server carries the archive; it is put into the shared checkpoint folder if that is a file path.
+    """
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parent.parent
+    if sc.applicationId in _SHIPPED or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    _SHIPPED.add(sc.applicationId)
+    shared = spark.conf.get("spark.checkpoint.dir", "") or ""
+    folder = shared.removeprefix("file://") if shared.startswith(("/", "file:///")) else tempfile.mkdtemp(prefix="inkspan-package-")
+    os.makedirs(folder, exist_ok=True)
+    archive = f"{folder}/inkspan-{sc.applicationId}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted((root / "inkspan").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(archive)
