@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from inkspan.session import ship_package
+
 #: Rows that a worker holds as Python objects at a time.
 SLICE = 512
 
@@ -27,6 +29,7 @@ def _slices(batches) -> Iterator[pa.RecordBatch]:
 def map_partitions(df: DataFrame, columns: list[str], make: Callable[[], Callable], schema: str | StructType) -> DataFrame:
     """``make()`` is called once in each task; what it returns gets the columns of a slice of rows as lists and
     returns rows as tuples; called with None at the end of the partition, it returns what it still holds."""
+    ship_package(df.sparkSession)
     out = struct(schema)
     arrow = to_arrow_schema(out)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import ocr, quality, repeats, split
+from inkspan.llm import ocr, quality, repeats, split, truncated
 from inkspan.session import table
 
 
@@ -62,5 +62,19 @@ def p5_cleaned(spark: SparkSession, d: str) -> DataFrame:
     return repeats.without_lines(issues, "seq", "raw_text", repeats.repeated_lines(issues, *P5))
 
 
-QUERIES = {"p4_found": p4_found, "p4_pieces": p4_pieces, "p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_sequences": p5_sequences, "p5_cleaned": p5_cleaned}
+def _p9(spark: SparkSession, d: str) -> DataFrame:
+    return truncated.truncation(table(spark, d, "documents"), "doc_id", "text", "source")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose text was cut."""
+    return _p9(spark, d).where("cut").select(F.col("id").alias("doc_id"))
+
+
+def p9_share(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source cuts its texts."""
+    return _p9(spark, d).groupBy("source").agg(F.count("*").alias("documents"), F.count_if("cut").alias("cut"), F.avg(F.col("cut").cast("double")).alias("share"))
+
+
+QUERIES = {"p9_found": p9_found, "p9_share": p9_share, "p4_found": p4_found, "p4_pieces": p4_pieces, "p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_sequences": p5_sequences, "p5_cleaned": p5_cleaned}
 SQL: dict[str, str] = {}
