@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import ocr, quality, repeats, split, truncated
+from inkspan.llm import leaks, ocr, quality, repeats, split, truncated
 from inkspan.session import table
 
 
@@ -62,6 +62,20 @@ def p5_cleaned(spark: SparkSession, d: str) -> DataFrame:
     return repeats.without_lines(issues, "seq", "raw_text", repeats.repeated_lines(issues, *P5))
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold evaluation passages, with the passages."""
+    found = leaks.find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_passages"), "item_id", "text")
+    return found.select(F.col("doc").alias("doc_id"), "item_id")
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    """Every evaluation item with the number of documents that leak it."""
+    found = leaks.find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_passages"), "item_id", "text")
+    counted = found.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("most_words"))
+    items = table(spark, d, "eval_passages").select("item_id", "item_kind", "split_name")
+    return items.join(counted, "item_id", "left").na.fill(0, ["documents", "most_words"])
+
+
 def _p9(spark: SparkSession, d: str) -> DataFrame:
     return truncated.truncation(table(spark, d, "documents"), "doc_id", "text", "source")
 
@@ -76,5 +90,5 @@ def p9_share(spark: SparkSession, d: str) -> DataFrame:
     return _p9(spark, d).groupBy("source").agg(F.count("*").alias("documents"), F.count_if("cut").alias("cut"), F.avg(F.col("cut").cast("double")).alias("share"))
 
 
-QUERIES = {"p9_found": p9_found, "p9_share": p9_share, "p4_found": p4_found, "p4_pieces": p4_pieces, "p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_sequences": p5_sequences, "p5_cleaned": p5_cleaned}
+QUERIES = {"p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_share": p9_share, "p4_found": p4_found, "p4_pieces": p4_pieces, "p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_sequences": p5_sequences, "p5_cleaned": p5_cleaned}
 SQL: dict[str, str] = {}
