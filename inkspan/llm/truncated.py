@@ -16,7 +16,7 @@ from inkspan.llm.linear import Linear, hashed, train
 from inkspan.llm.quality import is_entry
 
 #: Rows on which the classifier is fitted, at most, and words kept for its features (share of all words).
-SAMPLE, MIN_SHARE = 12_000, 2e-6
+SAMPLE, MIN_SHARE = 12_000, 2e-6  # the sample is drawn by the ids' hashes
 #: Rows of the table of limits that may be broadcast.
 BROADCAST_ROWS = 200_000
 #: What is put at the place of an artificial cut, one of them each time.
@@ -163,7 +163,7 @@ def cut(text: str, limits: list[tuple], rng: random.Random) -> tuple[str, tuple
 
 def _balanced(x, y, chosen) -> Linear:
     w = np.where(y[chosen] == 1, 0.5 / max(1, y[chosen].sum()), 0.5 / max(1, (1 - y[chosen]).sum()))
-    return train([x[k] for k in chosen], y[chosen, None], ("cut",), w)
+    return train([x[k] for k in chosen], y[chosen, None], ("cut",), w, l2=1e-5, rounds=200)
 
 
 def fit(joined: DataFrame, words: dict, sample: int = SAMPLE, seed: int = 7) -> Linear:
@@ -172,7 +172,8 @@ def fit(joined: DataFrame, words: dict, sample: int = SAMPLE, seed: int = 7) ->
     joined: id, text, limits. Of the texts as they are, some were cut, too: those the first fit gives as cut are left
     out of the second, and their share sets the offset.
     """
-    picked = joined.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample)
+    share = min(1.0, sample / max(1, joined.count()))
+    picked = joined.where(F.xxhash64("id", F.lit(seed)) < int((2 * share - 1) * 2**63)) if share < 1 else joined
     limits = [tuple(r) for r in joined.where("at_chars >= 8").select("max_chars", "at_chars", "max_bytes", "at_bytes").distinct().limit(1000).collect()]
     limits.sort()
     shared = joined.sparkSession.sparkContext.broadcast(words)
