@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import leaks, ocr, quality, repeats, split, truncated
+from inkspan.llm import leaks, ocr, pairs, quality, repeats, split, truncated
 from inkspan.session import table
 
 
@@ -21,6 +21,12 @@ def p1_statistics(spark: SparkSession, d: str) -> DataFrame:
     return of[0].unionByName(of[1])
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Defective question and answer pairs with their defect."""
+    found = pairs.pair_defects(table(spark, d, "test_queries"), "qa_id", "question", "answer")
+    return found.where("defect is not null").select(F.col("id").alias("qa_id"), "defect")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Noise by line of the issues that are prose."""
     pages = ocr.repair_pages(table(spark, d, "issues"), "seq", "raw_text", "newspaper")
@@ -90,5 +96,5 @@ def p9_share(spark: SparkSession, d: str) -> DataFrame:
     return _p9(spark, d).groupBy("source").agg(F.count("*").alias("documents"), F.count_if("cut").alias("cut"), F.avg(F.col("cut").cast("double")).alias("share"))
 
 
-QUERIES = {"p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_share": p9_share, "p4_found": p4_found, "p4_pieces": p4_pieces, "p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_sequences": p5_sequences, "p5_cleaned": p5_cleaned}
+QUERIES = {"p2_found": p2_found, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_share": p9_share, "p4_found": p4_found, "p4_pieces": p4_pieces, "p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_sequences": p5_sequences, "p5_cleaned": p5_cleaned}
 SQL: dict[str, str] = {}
