@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import leaks, ocr, pairs, quality, repeats, split, truncated
+from inkspan.llm import leaks, ocr, packing, pairs, quality, repeats, split, tokens, truncated
 from inkspan.session import table
 
 
@@ -68,6 +68,39 @@ def p5_cleaned(spark: SparkSession, d: str) -> DataFrame:
     return repeats.without_lines(issues, "seq", "raw_text", repeats.repeated_lines(issues, *P5))
 
 
+def _p6(spark: SparkSession, d: str) -> DataFrame:
+    """Both corpora with their slices: table, id, source, language, domain, tokens."""
+    i, t = table(spark, d, "issues"), table(spark, d, "documents")
+    spoken = F.when(F.size("language") > 0, F.array_join(F.transform("language", tokens.language_code), "+")).otherwise(F.lit("und"))
+    a = i.select(F.lit("issues").alias("corpus"), F.col("seq").alias("id"), F.col("newspaper").alias("source"), F.coalesce(spoken, F.lit("und")).alias("language"), F.col("collection").alias("domain"), F.col("raw_text").alias("text"))
+    b = t.select(F.lit("documents").alias("corpus"), F.col("doc_id").alias("id"), "source", tokens.language_code(F.col("lang")).alias("language"), "domain", "text")
+    return tokens.token_counts(a.unionByName(b), ["corpus", "id", "source", "language", "domain"], "text")
+
+
+def p6_budget(spark: SparkSession, d: str) -> DataFrame:
+    """Tokens by newspaper or source, by language, by collection or domain, and by all three."""
+    return tokens.token_budget(_p6(spark, d).withColumn("source", F.concat("corpus", F.lit("/"), F.coalesce("source", F.lit("unknown")))))
+
+
+def p6_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Tokens of every issue and document."""
+    return _p6(spark, d).select("corpus", "id", "tokens")
+
+
+def _p7(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(tokens.token_counts(table(spark, d, "documents"), ["doc_id"], "text"), "doc_id", "tokens")
+
+
+def p7_assignment(spark: SparkSession, d: str) -> DataFrame:
+    """Every document, or its pieces, with its container of 2,048 tokens."""
+    return _p7(spark, d).withColumnRenamed("item", "doc_id")
+
+
+def p7_bins(spark: SparkSession, d: str) -> DataFrame:
+    """The containers with their contents' size and what they leave unused."""
+    return packing.bins_of(_p7(spark, d))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents that hold evaluation passages, with the passages."""
     found = leaks.find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_passages"), "item_id", "text")
@@ -96,5 +129,6 @@ def p9_share(spark: SparkSession, d: str) -> DataFrame:
     return _p9(spark, d).groupBy("source").agg(F.count("*").alias("documents"), F.count_if("cut").alias("cut"), F.avg(F.col("cut").cast("double")).alias("share"))
 
 
-QUERIES = {"p2_found": p2_found, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_share": p9_share, "p4_found": p4_found, "p4_pieces": p4_pieces, "p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_sequences": p5_sequences, "p5_cleaned": p5_cleaned}
+QUERIES = {
+    "p6_budget": p6_budget, "p6_tokens": p6_tokens, "p7_assignment": p7_assignment, "p7_bins": p7_bins, "p2_found": p2_found, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_share": p9_share, "p4_found": p4_found, "p4_pieces": p4_pieces, "p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_sequences": p5_sequences, "p5_cleaned": p5_cleaned}
 SQL: dict[str, str] = {}
