@@ -9,7 +9,7 @@ from inkspan.config import ID_PREFIX, PERIOD_KEYWORDS, QA_TEMPLATES
 from inkspan.operators.records import first_by
 from inkspan.text.classes import NOT_W, text_of
 from inkspan.text.clean import clean_eval
-from inkspan.text.segments import keyword_score, segments, top_segments
+from inkspan.text.segments import let, segments, top_segments
 
 
 def prefer_ocr(records: DataFrame, vlm: DataFrame, key: str = "ark_id") -> DataFrame:
@@ -30,13 +30,20 @@ def period_keywords(period, keywords: dict[str, list[str]] = PERIOD_KEYWORDS) ->
 def extract_articles(df: DataFrame, period: Column, keywords: dict[str, list[str]] = PERIOD_KEYWORDS, min_chars: int = 100, min_segment: int = 200, min_score: int = 2, top: int = 5) -> DataFrame:
     """Records (with text, ocr_source) that have segments of the period's topic, with the best of them. All in one
     projection: no join, no shuffle."""
-    cleaned = df.where(F.length(text_of("text")) >= min_chars).withColumn("period", period).withColumn("_clean", clean_eval("text")).withColumn("_segments", segments("_clean", min_segment))
-    best, n = top_segments(F.col("_segments"), period_keywords(F.col("period"), keywords), min_score, top)
-    out = cleaned.withColumn("war_segments", n).withColumn("top_segments", best).where("war_segments > 0")
-    return out.select(
+    topic = period_keywords(F.col("period"), keywords)
+
+    def facts(clean: Column) -> Column:
+        def scored(segs: Column) -> Column:
+            return F.struct(F.size(segs).alias("total"), top_segments(segs, topic, min_score, top).alias("top"), F.length(clean).alias("chars"))
+
+        return let(segments(clean, min_segment), scored)
+
+    found = df.where(F.length(text_of("text")) >= min_chars).withColumn("period", period).withColumn("_f", let(clean_eval("text"), facts))
+    out = found.select(
         "ark_id", "record_id", "newspaper", F.coalesce("issue_date", F.lit("")).alias("issue_date"), "date_iso", "year", F.coalesce("title", F.lit("")).alias("title"), "period",
-        "ocr_source", F.size("_segments").alias("total_segments"), "war_segments", "top_segments", F.length("_clean").alias("full_text_chars"),
+        "ocr_source", F.col("_f.total").alias("total_segments"), F.col("_f.top.n").alias("war_segments"), F.col("_f.top.best").alias("top_segments"), F.col("_f.chars").alias("full_text_chars"),
     )
+    return out.where("war_segments > 0")
 
 
 def ground_truth() -> Column:

@@ -19,44 +19,48 @@ def paragraphs(x) -> Column:
     return F.filter(F.transform(F.split(text_of(x), r"\n{2,}"), strip), lambda p: p != "")
 
 
-def segments(x, min_chars: int = 200) -> Column:
-    """Paragraphs joined by blank lines until a segment has min_chars; a short rest goes to the last segment.
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once: lambdas don't share what they refer to."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
-    A fold that carries the number of the segment each paragraph belongs to, so it stays linear in long texts.
-    """
-    paras = paragraphs(x)
+def segments(x, min_chars: int = 200) -> Column:
+    """Paragraphs joined by blank lines until a segment has min_chars; a short rest goes to the last segment."""
     state = F.struct(F.lit(0).alias("no"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("of"))
 
     def step(s: Column, p: Column) -> Column:
+        # number of the open segment, its length, the segment of each paragraph so far
         n = F.when(s["n"] == 0, F.length(p)).otherwise(s["n"] + 2 + F.length(p))
         full = n >= min_chars
-        return F.struct(
-            (s["no"] + full.cast("int")).alias("no"), F.when(full, 0).otherwise(n).alias("n"), F.concat(s["of"], F.array(s["no"])).alias("of")
-        )
+        return F.struct((s["no"] + full.cast("int")).alias("no"), F.when(full, 0).otherwise(n).alias("n"), F.concat(s["of"], F.array(s["no"])).alias("of"))
 
-    # the last number is shared by a short rest and, after a full last segment, by nothing
-    folded = F.aggregate(paras, state, step)
-    numbered = F.transform(paras, lambda p, i: F.struct(p.alias("p"), F.least(F.get(folded["of"], i), F.greatest(folded["no"] - 1, F.lit(0))).alias("no")))
-    texts = F.transform(
-        F.sequence(F.lit(0), F.greatest(folded["no"] - 1, F.lit(0))),
-        lambda k: F.array_join(F.transform(F.filter(numbered, lambda q: q["no"] == k), lambda q: q["p"]), "\n\n"),
-    )
-    return F.when(F.size(paras) == 0, F.array().cast(NO_TEXTS)).otherwise(texts)
+    def joined(paras: Column) -> Column:
+        def of(folded: Column) -> Column:
+            last = F.greatest(folded["no"] - 1, F.lit(0))
+            # where each segment's paragraphs begin: a rest that isn't full belongs to the last segment
+            pick = lambda k: F.transform(F.filter(F.arrays_zip(paras.alias("p"), folded["of"].alias("k")), lambda z: F.least(z["k"], last) == k), lambda z: z["p"])
+            return F.transform(F.sequence(F.lit(0), last), lambda k: F.array_join(pick(k), "\n\n"))
+
+        return F.when(F.size(paras) == 0, F.array().cast(NO_TEXTS)).otherwise(let(F.aggregate(paras, state, step), of))
+
+    return let(paragraphs(x), joined)
 
 
 def keyword_score(x, keywords) -> Column:
     """How many of the keywords occur in the text, as plain substrings of its lower-case form."""
-    low = F.lower(text_of(x))
     keys = F.array(*[F.lit(k) for k in keywords]).cast(NO_TEXTS) if not isinstance(keywords, Column) else keywords
-    return F.size(F.filter(keys, lambda k: F.contains(low, k)))
+    return let(F.lower(text_of(x)), lambda low: F.size(F.filter(keys, lambda k: F.contains(low, k))))
 
 
-def top_segments(segs: Column, keywords, min_score: int = 2, top: int = 5) -> tuple[Column, Column]:
-    """(the best segments as array<struct<text, score>>, number of those that reach min_score). Ties keep text order."""
+def top_segments(segs: Column, keywords, min_score: int = 2, top: int = 5) -> Column:
+    """struct<best array<struct<text, score>>, n>: the best segments and how many reach min_score. Ties keep order."""
     scored = F.transform(segs, lambda s, i: F.struct((-keyword_score(s, keywords)).alias("rank"), i.alias("at"), s.alias("text")))
-    kept = F.filter(scored, lambda s: s["rank"] <= -min_score)
-    best = F.slice(F.array_sort(kept), 1, top)
-    return F.transform(best, lambda s: F.struct(s["text"].alias("text"), (-s["rank"]).alias("score"))), F.size(kept)
+
+    def best(kept: Column) -> Column:
+        first = F.slice(F.array_sort(kept), 1, top)
+        return F.struct(F.transform(first, lambda s: F.struct(s["text"].alias("text"), (-s["rank"]).alias("score"))).alias("best"), F.size(kept).alias("n"))
+
+    return let(F.filter(scored, lambda s: s["rank"] <= -min_score), best)
 
 
 def sentences(x) -> Column:
