@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from inkspan.session import ship_package
 
@@ -48,9 +48,15 @@ def map_partitions(df: DataFrame, columns: list[str], make: Callable[[], Callabl
     return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, out)
 
 
+def kept_fields(df: DataFrame, names: list[str], schema: str | StructType) -> list[StructField]:
+    """The fields of columns that are handed through; one whose name an output column has gets ``_in`` behind it."""
+    taken = set(struct(schema).fieldNames())
+    return [StructField(f"{n}_in" if n in taken else n, df.schema[n].dataType, True) for n in names]
+
+
 def map_rows(df: DataFrame, keep: list[str], inputs: list[str], f: Callable, schema: str) -> DataFrame:
     """The columns ``keep`` beside the row of ``schema`` that ``f`` makes of the columns ``inputs``."""
-    kept = [df.schema[k] for k in keep]
+    kept = kept_fields(df, keep, schema)
     n = len(keep)
 
     def make():
@@ -66,7 +72,7 @@ def map_rows(df: DataFrame, keep: list[str], inputs: list[str], f: Callable, sch
 
 def flat_map_rows(df: DataFrame, keep: list[str], inputs: list[str], f: Callable, schema: str) -> DataFrame:
     """As map_rows, with any number of rows for each input row."""
-    kept = [df.schema[k] for k in keep]
+    kept = kept_fields(df, keep, schema)
     n = len(keep)
 
     def make():

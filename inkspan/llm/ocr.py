@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from inkspan.llm.arrow import map_partitions, struct
+from inkspan.llm.arrow import kept_fields, map_partitions, struct
 from inkspan.llm.quality import PAGE_BREAK, is_entry, judge
 
 #: What a character or pair of characters is misread as. Probabilities are estimated from the corpus.
@@ -555,7 +555,7 @@ def repair_pages(df: DataFrame, id_col: str, text_col: str, newspaper_col: str,
     if lexicon is None:
         lexicon = fit_pairs(df, text_col, fit_lexicon(df, text_col))
     shared = df.sparkSession.sparkContext.broadcast(lexicon)
-    kept = df.schema[id_col]
+    out = f"noise array<struct<{LINE_SCHEMA.replace(' ', ':')}>>, repaired string, verdict string"
 
     def make():
         decoder = _decoder(shared)
@@ -573,7 +573,7 @@ def repair_pages(df: DataFrame, id_col: str, text_col: str, newspaper_col: str,
 
         return go
 
-    schema = StructType([kept, *struct(f"noise array<struct<{LINE_SCHEMA.replace(' ', ':')}>>, repaired string, verdict string").fields])
+    schema = StructType([*kept_fields(df, [id_col], out), *struct(out).fields])
     return map_partitions(df, [id_col, text_col, newspaper_col], make, schema)
 
 

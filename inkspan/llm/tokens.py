@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from inkspan.llm.arrow import map_partitions, struct
+from inkspan.llm.arrow import kept_fields, map_partitions, struct
 
 #: Where the public vocabularies are; always a parameter.
 TOKENIZERS = "/opt/tokenizers"
@@ -222,7 +222,7 @@ def _counter(shared) -> Counter:
 def token_counts(df: DataFrame, keep: list[str], text_col: str, vocabulary: str = DEFAULT) -> DataFrame:
     """The columns ``keep`` and ``tokens bigint`` of every row. Null and empty texts have 0. No shuffle."""
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary))
-    fields = [df.schema[k] for k in keep]
+    fields = kept_fields(df, keep, "tokens bigint")
 
     def make():
         counter = _counter(shared)
