@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkspan.text.classes import NOT_WS, c, rounded, text_of, tokens
-from inkspan.text.metrics import score_columns
+from inkspan.text.metrics import METRICS, with_scores
 
 #: Rates have four digits; sums of them are made of whole ten-thousandths, so they don't depend on the order.
 SCALE = 10_000
 
 
 def score_documents(df: DataFrame, keep: list[str], text_col: str) -> DataFrame:
-    return df.select(*keep, *[v.alias(k) for k, v in score_columns(text_col).items()])
+    return with_scores(df, keep, text_col)
 
 
 def long_form(scores: DataFrame, keep: list[str], metrics: list[str]) -> DataFrame:
@@ -98,7 +98,8 @@ def evaluate(ocr: DataFrame, truth: DataFrame, key: str, cleaned: DataFrame | No
         stages = stages.unionByName(cleaned.join(ocr.select(key), key, "left_semi").select(key, F.lit("cleaned").alias("stage"), "text"))
     joined = stages.join(ref, key, "left")
     has = F.col("reference").isNotNull()
-    return joined.select(key, "stage", *[v.alias(k) for k, v in score_columns("text").items()], F.when(has, cer("text", "reference")).alias("cer"), F.when(has, wer("text", "reference")).alias("wer"))
+    compared = [F.when(has, cer("text", "reference")).alias("cer"), F.when(has, wer("text", "reference")).alias("wer")]
+    return with_scores(joined, [key, "stage", *compared], "text").select(key, "stage", *METRICS, "cer", "wer")
 
 
 def token_total(text_col: str) -> Column:

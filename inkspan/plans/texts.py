@@ -62,11 +62,10 @@ def record_update(spark: SparkSession, d: str) -> DataFrame:
     f"{S.short('text')[0]} as short, {S.short('text')[1]} as short_base, {S.count('text', quality.NOT_WS + '+')} as tokens, {S.score_columns('text')} from documents"
 )
 def doc_quality(spark: SparkSession, d: str) -> DataFrame:
-    na, st = metrics.non_alpha_parts("text"), metrics.short_parts("text")
-    return table(spark, d, "documents").select(
-        "doc_id", metrics.junk_count("text").alias("junk"), metrics.symbol_count("text").alias("symbols"), na[0].alias("non_alpha"), na[1].alias("alpha_base"), st[0].alias("short"), st[1].alias("short_base"),
-        metrics.token_count("text").alias("tokens"), *[v.alias(k) for k, v in metrics.score_columns("text").items()],
-    )
+    t = table(spark, d, "documents")
+    c = metrics.counts_of("text")
+    counted = [c["_junk"].alias("junk"), c["_symbols"].alias("symbols"), c["_non_alpha"].alias("non_alpha"), c["_base"].alias("alpha_base"), c["_short"].alias("short"), c["_lettered"].alias("short_base"), metrics.token_count("text").alias("tokens")]
+    return metrics.with_scores(t, ["doc_id", *counted], "text")
 
 
 _BY_LANG = f"select coalesce(lower(lang), 'und') as lang, {S.score_columns('t')} from (select lang, {S.clean('text')} as t from documents) c"

@@ -114,3 +114,11 @@ def test_oov_counts_all_tokens(spark):
     zipf = spark.createDataFrame([], "word string, zipf double")
     got = {r.id: (r.tokens, r.unknown, r.oov_rate) for r in vocabulary.oov_rates(docs, "id", "text", vocab, zipf).collect()}
     assert got == {1: (5, 2, 0.4), 2: (0, 0, 0.0), 3: (0, 0, 0.0)}
+
+
+def test_evaluate_joins_by_key(spark):
+    ocr = spark.createDataFrame([("a", "tbe cat"), ("b", "x y")], "doc_id string, text string")
+    truth = spark.createDataFrame([("a", "the cat")], "doc_id string, text string")
+    cleaned = spark.createDataFrame([("a", "the cat"), ("z", "lost")], "doc_id string, text string")
+    got = {(r.doc_id, r.stage): (r.cer, r.wer) for r in quality.evaluate(ocr, truth, "doc_id", cleaned).collect()}
+    assert got == {("a", "raw"): (0.1429, 0.5), ("b", "raw"): (None, None), ("a", "cleaned"): (0.0, 0.0)}
