@@ -47,7 +47,7 @@ FLUSH = 200_000
 SLACK, EXCESS = 4.0, 8.0
 PRIOR = 0.0013
 #: What a word that misreadings could explain is still given as a word of its own.
-DOUBT = 0.01
+DOUBT = 0.001
 LOG_DOUBT = math.log(DOUBT)
 #: Letters up to which a word is searched for two misreadings at once; no language has longer ones in numbers.
 LONGEST = 32

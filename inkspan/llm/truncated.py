@@ -17,6 +17,8 @@ from inkspan.llm.quality import is_entry
 
 #: Rows on which the classifier is fitted, at most, and words kept for its features (share of all words).
 SAMPLE, MIN_SHARE = 12_000, 2e-6  # the sample is drawn by the ids' hashes
+#: Limits that artificial cuts are made at, the commonest ones.
+LIMITS = 1000
 #: Rows of the table of limits that may be broadcast.
 BROADCAST_ROWS = 200_000
 #: What is put at the place of an artificial cut, one of them each time.
@@ -166,15 +168,15 @@ def _balanced(x, y, chosen) -> Linear:
     return train([x[k] for k in chosen], y[chosen, None], ("cut",), w, l2=1e-5, rounds=200)
 
 
-def fit(joined: DataFrame, words: dict, sample: int = SAMPLE, seed: int = 7) -> Linear:
+def fit(joined: DataFrame, limits_of: DataFrame, words: dict, sample: int = SAMPLE, seed: int = 7) -> Linear:
     """Logistic regression of artificially cut texts against texts as they are.
 
-    joined: id, text, limits. Of the texts as they are, some were cut, too: those the first fit gives as cut are left
+    joined: id, text, limits; limits_of: the table of limits. Of the texts as they are, some were cut, too: those the first fit gives as cut are left
     out of the second, and their share sets the offset.
     """
     share = min(1.0, sample / max(1, joined.count()))
     picked = joined.where(F.xxhash64("id", F.lit(seed)) < int((2 * share - 1) * 2**63)) if share < 1 else joined
-    limits = [tuple(r) for r in joined.where("at_chars >= 8").select("max_chars", "at_chars", "max_bytes", "at_bytes").distinct().limit(1000).collect()]
+    limits = [tuple(r) for r in limits_of.where("at_chars >= 8").select("max_chars", "at_chars", "max_bytes", "at_bytes").distinct().orderBy(F.desc("at_chars"), "max_chars").limit(LIMITS).collect()]
     limits.sort()
     shared = joined.sparkSession.sparkContext.broadcast(words)
 
@@ -233,7 +235,7 @@ def truncation(df: DataFrame, id_col: str, text_col: str, source_col: str, sampl
     small = limits.count() <= BROADCAST_ROWS
     joined = plain.join(F.broadcast(limits) if small else limits, "source", "left")
     words = word_facts(plain, "text")
-    model = fit(joined, words, sample)
+    model = fit(joined, limits, words, sample)
     shared = df.sparkSession.sparkContext.broadcast((model, words))
 
     def make():
