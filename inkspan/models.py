@@ -40,6 +40,24 @@ def correct_texts(x, make: Callable[[], Callable[[str], str]] = same_text, size:
     return run(c(x))
 
 
+def bpe_tokens(x, ranks: str, pattern: str) -> Column:
+    """Tokens under a byte-pair vocabulary of ranks (base64 token and rank on each line); null and empty texts have 0."""
+    import base64
+
+    with open(ranks, "rb") as f:
+        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+    @F.pandas_udf("int")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import tiktoken
+
+        encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+        for s in batches:
+            yield s.map(lambda t: len(encoding.encode_ordinary(t)) if t else 0)
+
+    return run(c(x))
+
+
 def no_pages() -> Callable[[bytes], str]:
     """Stand-in of a page reader: no text."""
     return lambda image: ""

@@ -129,6 +129,20 @@ def cer_wer(spark: SparkSession, d: str) -> DataFrame:
     return stages.select("doc_id", "s.stage", quality.cer("s.t", "reference").alias("cer"), quality.wer("s.t", "reference").alias("wer"))
 
 
+@query(" union all ".join(f"select '{m}' as metric, count(*) as n, {S.rounded(f'coalesce(sum(cast(floor({m} * 10000 + 0.5) as bigint))::double / count(*) / 10000, 0.0)')} as mean from (select {S.score_columns('text')} from documents) s" for m in METRICS))
+def rate_means(spark: SparkSession, d: str) -> DataFrame:
+    """Means of the record-level rates over all documents."""
+    long = quality.long_form(quality.score_documents(table(spark, d, "documents"), ["doc_id"], "text"), ["doc_id"], METRICS)
+    return quality.corpus_statistics(long, []).select("metric", "n", "mean")
+
+
+@query(f"select seq, case when seq <= 100 and raw_text <> '' then {S.clean('raw_text')} else raw_text end as text from issues")
+def clean_first_records(spark: SparkSession, d: str) -> DataFrame:
+    """A limited cleaning run: all records come out, the first hundred cleaned."""
+    t = F.col("raw_text")
+    return table(spark, d, "issues").select("seq", F.when((F.col("seq") <= 100) & (t != ""), clean.clean_tier1(t)).otherwise(t).alias("text"))
+
+
 # -- vocabulary -------------------------------------------------------------------------------------------------------
 
 _VOCAB = f"select distinct lower(w) as word from (select unnest({S.words('text')}) as w from eval_passages) x where length(w) > 2"
@@ -262,6 +276,24 @@ def war_segments_top5(spark: SparkSession, d: str) -> DataFrame:
     return top.select("seq", (F.col("k") + 1).alias("rank"), F.col("s.text").alias("segment"), F.col("s.score").alias("score"), "total_segments", "war_segments")
 
 
+_PERIOD = "case when year[1] between 1914 and 1918 then 'wwi' when year[1] between 1939 and 1945 then 'wwii' when year[1] is not null then 'other' end"
+_BY_PERIOD = (
+    f"select seq, period, k, len(list_filter(case when period = 'wwii' then {S.listed(PERIOD_KEYWORDS['wwii'])} else {S.listed(WAR)} end, lambda w: contains(lower(seg), w))) as score, total, chars from "
+    f"(select seq, period, chars, k, segs[k] as seg, len(segs) as total from (select seq, period, chars, segs, unnest(range(1, len(segs) + 1)) as k from (select seq, period, length(t) as chars, {S.segment_list('f')} as segs from "
+    f"(select seq, {_PERIOD} as period, {S.clean(RAW, False)} as t, {S.segments(S.clean(RAW, False))} as f from issues where length(raw_text) >= 100) x) s) y) z"
+)
+
+
+@query(f"select seq, coalesce(period, 'none') as period, any_value(total) as total_segments, count(*) as war_segments, max(score) as best_score, any_value(chars) as full_text_chars from ({_BY_PERIOD}) b where score >= 2 group by 1, 2")
+def war_articles(spark: SparkSession, d: str) -> DataFrame:
+    """Issues with segments of their period's topic; periods without keywords of their own use the first list."""
+    y = F.get("year", F.lit(0))
+    period = F.when(y.between(1914, 1918), "wwi").when(y.between(1939, 1945), "wwii").when(y.isNotNull(), "other")
+    issues = table(spark, d, "issues").withColumn("text", F.col("raw_text")).withColumn("ocr_source", F.lit("api"))
+    found = articles.extract_articles(issues.withColumn("record_id", F.col("seq").cast("string")), period)
+    return found.select(F.col("record_id").cast("bigint").alias("seq"), F.coalesce("period", F.lit("none")).alias("period"), "total_segments", "war_segments", F.get("top_segments", F.lit(0))["score"].alias("best_score"), "full_text_chars")
+
+
 _SENT = f"list_filter(list_transform(string_split(replace({RAW}, '. ', '.|'), '|'), lambda s: {S.strip('s')}), lambda s: s <> '')"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import zipfile
@@ -66,18 +67,26 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Lets Python workers import this package where neither PYTHONPATH nor an installation does.
 
-    Spark's own file server carries the archive; it is put into the shared checkpoint folder if that is a file path.
+    The archive is put into the shared checkpoint folder, whatever its file system; only local sessions without that
+    setting use a temporary folder. Spark carries it to the executors.
     """
     sc = spark.sparkContext
     root = Path(__file__).resolve().parent.parent
     if sc.applicationId in _SHIPPED or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
         return
-    _SHIPPED.add(sc.applicationId)
-    shared = spark.conf.get("spark.checkpoint.dir", "") or ""
-    folder = shared.removeprefix("file://") if shared.startswith(("/", "file:///")) else tempfile.mkdtemp(prefix="inkspan-package-")
-    os.makedirs(folder, exist_ok=True)
-    archive = f"{folder}/inkspan-{sc.applicationId}.zip"
-    with zipfile.ZipFile(archive, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for f in sorted((root / "inkspan").rglob("*.py")):
             z.write(f, f.relative_to(root))
-    sc.addPyFile(archive)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share, or PYTHONPATH to this package")
+        folder = tempfile.mkdtemp(prefix="inkspan-package-")
+    target = f"{folder.rstrip('/')}/inkspan-{sc.applicationId}.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)

@@ -182,3 +182,35 @@ def test_config(tmp_path):
     assert (c.max_pages, c.retry.max_retries, c.text_col, c.for_test().max_pages) == (5, 2, "clean_text", 2)
     with pytest.raises(TypeError):
         config.load_config(None, nonsense=1)
+
+
+def test_bpe_tokens(spark):
+    import base64
+
+    import tiktoken
+
+    path, pattern = "/opt/tokenizers/byte_bpe_50k.tiktoken", r"\p{L}+|[^\p{L}]+"
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    texts = ["Hello, wörld", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.n for r in df.select(models.bpe_tokens("t", path, pattern).alias("n")).collect()] == [len(encoding.encode_ordinary(t)) if t else 0 for t in texts]
+
+
+def test_discovery(spark, tmp_path):
+    for name in ("a/1900.json", "a/ids.json", "b/1901.json", "b/1901_tmp.json"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("{}")
+    assert {(r.collection, r.year) for r in files.year_files(spark, str(tmp_path)).collect()} == {("a", 1900), ("b", 1901)}
+
+
+def test_page_join_and_manifest(spark):
+    df = spark.createDataFrame([("a", 2, "zwei"), ("a", 1, "eins"), ("a", 3, None)], "ark_id string, page_no int, text string")
+    line = "\n\n--- PAGE BREAK ---\n\n"
+    assert [r.text for r in records.join_pages(df).collect()] == [f"eins{line}zwei{line}"]
+
+
+def test_export_summary(spark):
+    qa = spark.createDataFrame([(1, "Q?", "A" * 100, "wwi", "document", "high", "x llm")], "id int, question string, answer string, period string, question_type string, confidence string, notes string")
+    text = sinks.export_summary(articles.export_counts(qa), qa, "id")
+    assert "source       llm" in text and "A: " + "A" * 80 in text and "A" * 81 not in text
