@@ -196,12 +196,12 @@ def _queries(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_HITS)
 def retrieve_top5(spark: SparkSession, d: str) -> DataFrame:
-    return articles.retrieve(_queries(spark, d), table(spark, d, "issues"))
+    return articles.retrieve(_queries(spark, d), table(spark, d, "issues", spread=True))
 
 
 @query()
 def retrieval_prompts(spark: SparkSession, d: str) -> DataFrame:
-    q, r = _queries(spark, d), table(spark, d, "issues")
+    q, r = _queries(spark, d), table(spark, d, "issues", spread=True)
     return articles.excerpts_prompt(articles.retrieve(q, r), q, r)
 
 
@@ -229,7 +229,7 @@ _PER_PAGE = (
 
 
 def _per_page(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.per_page(table(spark, d, "issues"), ["seq", "collection"], "raw_text", "page_count")
+    return corpus.per_page(table(spark, d, "issues", spread=True), ["seq", "collection"], "raw_text", "page_count")
 
 
 @query(_PER_PAGE)

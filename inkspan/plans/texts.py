@@ -34,24 +34,24 @@ def query(sql: str | None = None):
 
 @query(f"select seq, {S.clean('raw_text')} as text from issues")
 def clean_tier1(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "issues").select("seq", clean.clean_tier1("raw_text").alias("text"))
+    return table(spark, d, "issues", spread=True).select("seq", clean.clean_tier1("raw_text").alias("text"))
 
 
 @query(f"select seq, {S.clean('raw_text', False)} as text from issues")
 def clean_eval(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "issues").select("seq", clean.clean_eval("raw_text").alias("text"))
+    return table(spark, d, "issues", spread=True).select("seq", clean.clean_eval("raw_text").alias("text"))
 
 
 @query(f"select doc_id, {S.clean_flat('text')} as text from documents")
 def clean_flat(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", clean.clean_flat("text").alias("text"))
+    return table(spark, d, "documents", spread=True).select("doc_id", clean.clean_flat("text").alias("text"))
 
 
 @query(f"select seq, raw_text = '' or raw_text is null as skipped, case when raw_text <> '' then {S.clean('raw_text')} else tier_1_cleaned end as tier_1_cleaned from issues")
 def record_update(spark: SparkSession, d: str) -> DataFrame:
     """Records with a new cleaned field, empty texts skipped."""
     t = F.col("raw_text")
-    return table(spark, d, "issues").select("seq", (t.isNull() | (t == "")).alias("skipped"), F.when(t != "", clean.clean_tier1(t)).otherwise(F.col("tier_1_cleaned")).alias("tier_1_cleaned"))
+    return table(spark, d, "issues", spread=True).select("seq", (t.isNull() | (t == "")).alias("skipped"), F.when(t != "", clean.clean_tier1(t)).otherwise(F.col("tier_1_cleaned")).alias("tier_1_cleaned"))
 
 
 # -- quality ----------------------------------------------------------------------------------------------------------
@@ -62,7 +62,7 @@ def record_update(spark: SparkSession, d: str) -> DataFrame:
     f"{S.short('text')[0]} as short, {S.short('text')[1]} as short_base, {S.count('text', quality.NOT_WS + '+')} as tokens, {S.score_columns('text')} from documents"
 )
 def doc_quality(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "documents")
+    t = table(spark, d, "documents", spread=True)
     c = metrics.counts_of("text")
     counted = [c["_junk"].alias("junk"), c["_symbols"].alias("symbols"), c["_non_alpha"].alias("non_alpha"), c["_base"].alias("alpha_base"), c["_short"].alias("short"), c["_lettered"].alias("short_base"), metrics.token_count("text").alias("tokens")]
     return metrics.with_scores(t, ["doc_id", *counted], "text")
@@ -74,7 +74,7 @@ _BY_LANG = f"select coalesce(lower(lang), 'und') as lang, {S.score_columns('t')}
 @query(S.statistics(S.long_form(_BY_LANG, "lang"), "lang"))
 def corpus_stats_by_lang(spark: SparkSession, d: str) -> DataFrame:
     """Cleaned documents, metrics by document, statistics by language."""
-    cleaned = table(spark, d, "documents").select(F.coalesce(F.lower("lang"), F.lit("und")).alias("lang"), clean.clean_tier1("text").alias("t"))
+    cleaned = table(spark, d, "documents", spread=True).select(F.coalesce(F.lower("lang"), F.lit("und")).alias("lang"), clean.clean_tier1("text").alias("t"))
     return quality.corpus_statistics(quality.long_form(quality.score_documents(cleaned, ["lang"], "t"), ["lang"], METRICS), ["lang"])
 
 
@@ -84,7 +84,7 @@ _TIER_STATS = S.statistics(S.long_form(f"select tier, {S.score_columns('t')} fro
 
 def _tiers(spark: SparkSession, d: str) -> DataFrame:
     tiers = {"raw": F.col("raw_text"), "tier_1": clean.clean_tier1(text_of("raw_text")), "stored": F.col("tier_1_cleaned")}
-    texts = quality.tier_texts(table(spark, d, "issues"), tiers, [])
+    texts = quality.tier_texts(table(spark, d, "issues", spread=True), tiers, [])
     return quality.corpus_statistics(quality.long_form(quality.score_documents(texts, ["tier"], "text"), ["tier"], METRICS), ["tier"])
 
 
@@ -115,15 +115,15 @@ def text_counters(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"select metric, cast(least(29, floor(value * 30)) as int) as bin, count(*) as n from ({S.long_form(f'select doc_id, {S.score_columns("text")} from documents', 'doc_id')}) l group by 1, 2")
 def rate_histogram(spark: SparkSession, d: str) -> DataFrame:
-    long = quality.long_form(quality.score_documents(table(spark, d, "documents"), ["doc_id"], "text"), ["doc_id"], METRICS)
+    long = quality.long_form(quality.score_documents(table(spark, d, "documents", spread=True), ["doc_id"], "text"), ["doc_id"], METRICS)
     return quality.histogram(long, [])
 
 
 @query()
 def cer_wer(spark: SparkSession, d: str) -> DataFrame:
     """Documents that name an issue against that issue's text, raw and cleaned."""
-    docs = table(spark, d, "documents").where("ark_id is not null").select("doc_id", "ark_id", "text")
-    truth = table(spark, d, "issues").where("raw_text <> ''").groupBy("ark_id").agg(F.min_by("raw_text", "seq").alias("reference"))
+    docs = table(spark, d, "documents", spread=True).where("ark_id is not null").select("doc_id", "ark_id", "text")
+    truth = table(spark, d, "issues", spread=True).where("raw_text <> ''").groupBy("ark_id").agg(F.min_by("raw_text", "seq").alias("reference"))
     pairs = docs.join(truth, "ark_id").where("length(text) < 20000 and length(reference) < 20000 and abs(length(text) - length(reference)) < 4000")
     stages = pairs.select("doc_id", F.explode(F.array(F.struct(F.lit("raw").alias("stage"), F.col("text").alias("t")), F.struct(F.lit("cleaned").alias("stage"), clean.clean_tier1("text").alias("t")))).alias("s"), "reference")
     return stages.select("doc_id", "s.stage", quality.cer("s.t", "reference").alias("cer"), quality.wer("s.t", "reference").alias("wer"))
@@ -132,7 +132,7 @@ def cer_wer(spark: SparkSession, d: str) -> DataFrame:
 @query(" union all ".join(f"select '{m}' as metric, count(*) as n, {S.rounded(f'coalesce(sum(cast(floor({m} * 10000 + 0.5) as bigint))::double / count(*) / 10000, 0.0)')} as mean from (select {S.score_columns('text')} from documents) s" for m in METRICS))
 def rate_means(spark: SparkSession, d: str) -> DataFrame:
     """Means of the record-level rates over all documents."""
-    long = quality.long_form(quality.score_documents(table(spark, d, "documents"), ["doc_id"], "text"), ["doc_id"], METRICS)
+    long = quality.long_form(quality.score_documents(table(spark, d, "documents", spread=True), ["doc_id"], "text"), ["doc_id"], METRICS)
     return quality.corpus_statistics(long, []).select("metric", "n", "mean")
 
 
@@ -140,7 +140,7 @@ def rate_means(spark: SparkSession, d: str) -> DataFrame:
 def clean_first_records(spark: SparkSession, d: str) -> DataFrame:
     """A limited cleaning run: all records come out, the first hundred cleaned."""
     t = F.col("raw_text")
-    return table(spark, d, "issues").select("seq", F.when((F.col("seq") <= 100) & (t != ""), clean.clean_tier1(t)).otherwise(t).alias("text"))
+    return table(spark, d, "issues", spread=True).select("seq", F.when((F.col("seq") <= 100) & (t != ""), clean.clean_tier1(t)).otherwise(t).alias("text"))
 
 
 # -- vocabulary -------------------------------------------------------------------------------------------------------
@@ -179,8 +179,8 @@ _OOV = (
 
 @query(_OOV)
 def oov_by_doc(spark: SparkSession, d: str) -> DataFrame:
-    zipf = vocabulary.word_frequencies(table(spark, d, "documents"), "text")
-    return vocabulary.oov_rates(table(spark, d, "issues"), "seq", "raw_text", _vocab(spark, d), zipf, threshold=4.0)
+    zipf = vocabulary.word_frequencies(table(spark, d, "documents", spread=True), "text")
+    return vocabulary.oov_rates(table(spark, d, "issues", spread=True), "seq", "raw_text", _vocab(spark, d), zipf, threshold=4.0)
 
 
 @query(
@@ -190,8 +190,8 @@ def oov_by_doc(spark: SparkSession, d: str) -> DataFrame:
     "select class, tokens, " + S.rounded("tokens::double / (select sum(tokens) from s)::double") + " as token_ratio, words from a"
 )
 def token_classes(spark: SparkSession, d: str) -> DataFrame:
-    modern = vocabulary.word_frequencies(table(spark, d, "documents"), "text").where("zipf > 4.0")
-    return vocabulary.token_classes(table(spark, d, "issues"), "raw_text", modern, _vocab(spark, d))
+    modern = vocabulary.word_frequencies(table(spark, d, "documents", spread=True), "text").where("zipf > 4.0")
+    return vocabulary.token_classes(table(spark, d, "issues", spread=True), "raw_text", modern, _vocab(spark, d))
 
 
 @query(f"select word from ({_VOCAB}) v order by word limit 50")
@@ -204,7 +204,7 @@ _CHARS = f"select case when contains({S.lit(JUNK_CHARS)}, ch) then 'junk' else '
 
 @query(_CHARS)
 def special_chars(spark: SparkSession, d: str) -> DataFrame:
-    return vocabulary.special_characters(table(spark, d, "issues"), "raw_text")
+    return vocabulary.special_characters(table(spark, d, "issues", spread=True), "raw_text")
 
 
 @query(f"select class, count(*) as unique_chars, sum(n)::bigint as total, string_agg(ch, '' order by ch) as all_chars from ({_CHARS}) c group by 1")
@@ -218,8 +218,8 @@ def special_chars_top(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _corrections(spark: SparkSession, d: str) -> DataFrame:
-    zipf = vocabulary.word_frequencies(table(spark, d, "documents"), "text")
-    return vocabulary.corrections(table(spark, d, "documents"), "text", _vocab(spark, d), zipf, threshold=4.3)
+    zipf = vocabulary.word_frequencies(table(spark, d, "documents", spread=True), "text")
+    return vocabulary.corrections(table(spark, d, "documents", spread=True), "text", _vocab(spark, d), zipf, threshold=4.3)
 
 
 _CORE = "regexp_extract(tok, '(?s)^([^a-zA-Z]*)(.*?)([^a-zA-Z]*)\\z', 2)"
@@ -239,7 +239,7 @@ def spell_corrections(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def spell_corrected_texts(spark: SparkSession, d: str) -> DataFrame:
-    return vocabulary.corrected_texts(table(spark, d, "documents"), "doc_id", "text", _corrections(spark, d))
+    return vocabulary.corrected_texts(table(spark, d, "documents", spread=True), "doc_id", "text", _corrections(spark, d))
 
 
 # -- segments ---------------------------------------------------------------------------------------------------------
@@ -249,13 +249,13 @@ _SEG = f"select seq, newspaper, {S.segment_list('f')} as segs from (select seq,
 
 @query(f"select seq, k as segment_no, segs[k] as segment from (select seq, segs, unnest(range(1, len(segs) + 1)) as k from ({_SEG}) s) y")
 def segments_by_issue(spark: SparkSession, d: str) -> DataFrame:
-    cut = table(spark, d, "issues").select("seq", F.posexplode(segments.segments(clean.clean_eval(text_of("raw_text")))).alias("k", "segment"))
+    cut = table(spark, d, "issues", spread=True).select("seq", F.posexplode(segments.segments(clean.clean_eval(text_of("raw_text")))).alias("k", "segment"))
     return cut.select("seq", (F.col("k") + 1).cast("bigint").alias("segment_no"), "segment")
 
 
 @query(f"select seq, len(list_filter({S.listed(WAR)}, lambda k: contains(lower({RAW}), k))) as hits from issues")
 def keyword_hits(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "issues").select("seq", segments.keyword_score("raw_text", WAR).alias("hits"))
+    return table(spark, d, "issues", spread=True).select("seq", segments.keyword_score("raw_text", WAR).alias("hits"))
 
 
 _SCORED = (
@@ -270,7 +270,7 @@ _SCORED = (
 )
 def war_segments_top5(spark: SparkSession, d: str) -> DataFrame:
     """The best segments of every issue by the keywords of the first period."""
-    issues = table(spark, d, "issues").withColumn("text", F.col("raw_text")).withColumn("ocr_source", F.lit("api"))
+    issues = table(spark, d, "issues", spread=True).withColumn("text", F.col("raw_text")).withColumn("ocr_source", F.lit("api"))
     found = articles.extract_articles(issues.withColumn("record_id", F.col("seq").cast("string")), F.lit("wwi"))
     top = found.select(F.col("record_id").cast("bigint").alias("seq"), F.posexplode("top_segments").alias("k", "s"), "total_segments", "war_segments")
     return top.select("seq", (F.col("k") + 1).alias("rank"), F.col("s.text").alias("segment"), F.col("s.score").alias("score"), "total_segments", "war_segments")
@@ -289,7 +289,7 @@ def war_articles(spark: SparkSession, d: str) -> DataFrame:
     """Issues with segments of their period's topic; periods without keywords of their own use the first list."""
     y = F.get("year", F.lit(0))
     period = F.when(y.between(1914, 1918), "wwi").when(y.between(1939, 1945), "wwii").when(y.isNotNull(), "other")
-    issues = table(spark, d, "issues").withColumn("text", F.col("raw_text")).withColumn("ocr_source", F.lit("api"))
+    issues = table(spark, d, "issues", spread=True).withColumn("text", F.col("raw_text")).withColumn("ocr_source", F.lit("api"))
     found = articles.extract_articles(issues.withColumn("record_id", F.col("seq").cast("string")), period)
     return found.select(F.col("record_id").cast("bigint").alias("seq"), F.coalesce("period", F.lit("none")).alias("period"), "total_segments", "war_segments", F.get("top_segments", F.lit(0))["score"].alias("best_score"), "full_text_chars")
 
@@ -305,7 +305,7 @@ def sentence_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def sentence_packs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "issues").select("seq", F.posexplode(segments.packed_sentences("raw_text")).alias("pack_no", "pack"))
+    return table(spark, d, "issues", spread=True).select("seq", F.posexplode(segments.packed_sentences("raw_text")).alias("pack_no", "pack"))
 
 
 @query()

@@ -31,9 +31,20 @@ def local_session(cpus: int = 8, app: str = "inkspan") -> SparkSession:
     )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """One of the project's Parquet tables; Catalyst prunes and pushes down from here."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_rows(df) if spread else df
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores where the input has fewer partitions than there are cores.
+
+    For work that costs far more than moving the rows, on tables of one or a few row groups; larger inputs, which have
+    partitions enough, stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def register(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
