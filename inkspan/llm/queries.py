@@ -11,12 +11,12 @@ from inkspan.session import table
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Issues whose text is mainly lists, tables or rubbish."""
-    return quality.document_statistics(table(spark, d, "issues"), "seq", "raw_text").where("verdict = 'not_prose'").select("seq")
+    return quality.document_statistics(table(spark, d, "issues", spread=True), "seq", "raw_text").where("verdict = 'not_prose'").select("seq")
 
 
 def p1_statistics(spark: SparkSession, d: str) -> DataFrame:
     """Statistics and verdict of the raw and the cleaned text of every issue."""
-    issues = table(spark, d, "issues")
+    issues = table(spark, d, "issues", spread=True)
     of = [quality.document_statistics(issues, "seq", c).withColumn("field", F.lit(c)) for c in ("raw_text", "tier_1_cleaned")]
     return of[0].unionByName(of[1])
 
@@ -29,13 +29,13 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Noise by line of the issues that are prose."""
-    pages = ocr.repair_pages(table(spark, d, "issues"), "seq", "raw_text", "newspaper")
+    pages = ocr.repair_pages(table(spark, d, "issues", spread=True), "seq", "raw_text", "newspaper")
     return pages.where("verdict <> 'not_prose'").select("seq", F.explode("noise").alias("x")).select("seq", "x.line_no", "x.noise")
 
 
 def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
     """Every issue's text in continuous paragraphs."""
-    return ocr.repair_pages(table(spark, d, "issues"), "seq", "raw_text", "newspaper").select("seq", "repaired", "verdict")
+    return ocr.repair_pages(table(spark, d, "issues", spread=True), "seq", "raw_text", "newspaper").select("seq", "repaired", "verdict")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -45,7 +45,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
     """All issues in pieces of at most 4,000 characters that overlap by 200."""
-    return split.split_texts(table(spark, d, "issues"), "seq", "raw_text").withColumnRenamed("item", "seq")
+    return split.split_texts(table(spark, d, "issues", spread=True), "seq", "raw_text").withColumnRenamed("item", "seq")
 
 
 P5 = ("seq", "raw_text", "newspaper", "record_id")
@@ -70,7 +70,7 @@ def p5_cleaned(spark: SparkSession, d: str) -> DataFrame:
 
 def _p6(spark: SparkSession, d: str) -> DataFrame:
     """Both corpora with their slices: table, id, source, language, domain, tokens."""
-    i, t = table(spark, d, "issues"), table(spark, d, "documents")
+    i, t = table(spark, d, "issues", spread=True), table(spark, d, "documents", spread=True)
     spoken = F.when(F.size("language") > 0, F.array_join(F.transform("language", tokens.language_code), "+")).otherwise(F.lit("und"))
     a = i.select(F.lit("issues").alias("corpus"), F.col("seq").alias("id"), F.col("newspaper").alias("source"), F.coalesce(spoken, F.lit("und")).alias("language"), F.col("collection").alias("domain"), F.col("raw_text").alias("text"))
     b = t.select(F.lit("documents").alias("corpus"), F.col("doc_id").alias("id"), "source", tokens.language_code(F.col("lang")).alias("language"), "domain", "text")
@@ -88,7 +88,7 @@ def p6_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p7(spark: SparkSession, d: str) -> DataFrame:
-    return packing.pack(tokens.token_counts(table(spark, d, "documents"), ["doc_id"], "text"), "doc_id", "tokens")
+    return packing.pack(tokens.token_counts(table(spark, d, "documents", spread=True), ["doc_id"], "text"), "doc_id", "tokens")
 
 
 def p7_assignment(spark: SparkSession, d: str) -> DataFrame:
@@ -103,13 +103,13 @@ def p7_bins(spark: SparkSession, d: str) -> DataFrame:
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents that hold evaluation passages, with the passages."""
-    found = leaks.find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_passages"), "item_id", "text")
+    found = leaks.find_leaks(table(spark, d, "documents", spread=True), "doc_id", "text", table(spark, d, "eval_passages"), "item_id", "text")
     return found.select(F.col("doc").alias("doc_id"), "item_id")
 
 
 def p8_items(spark: SparkSession, d: str) -> DataFrame:
     """Every evaluation item with the number of documents that leak it."""
-    found = leaks.find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_passages"), "item_id", "text")
+    found = leaks.find_leaks(table(spark, d, "documents", spread=True), "doc_id", "text", table(spark, d, "eval_passages"), "item_id", "text")
     counted = found.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("most_words"))
     items = table(spark, d, "eval_passages").select("item_id", "item_kind", "split_name")
     return items.join(counted, "item_id", "left").na.fill(0, ["documents", "most_words"])
