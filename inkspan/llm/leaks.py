@@ -201,7 +201,7 @@ def _extend(a: bytes, i: int, b: bytes, j: int) -> tuple[int, int]:
 def align(passage: bytes, x: int, data: bytes, y: int) -> tuple[int, int]:
     """Start and end, in the passage, of the stretch around place x that stands in data around place y."""
     end, _ = _extend(passage, x, data, y)
-    back, _ = _extend(passage[:x][::-1], 0, data[:y][::-1], 0)
+    back, _ = _extend(passage[:x][::-1], 0, data[max(0, y - 2 * x - 64) : y][::-1], 0)  # no alignment reaches further
     return x - back, end
 
 

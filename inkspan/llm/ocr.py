@@ -33,7 +33,7 @@ MARKS, DOUBTFUL = ".,:?()\"“”„«»'‘’—–-[]/…", ";!"
 PARTS = re.compile(r"[-–—’'/]")
 ODD = re.compile(r"[^\w\s.,:;?!()\"“”„«»'‘’—–\-\[\]/…&$%€£#*•·>+@¡¿§]|_")
 NUMBER = re.compile(r"[$£]?[\d.,:]*\d[\d.,:]*(?:st|nd|rd|th|s|d|er|re|e|a|o|%)?")
-PAGE_NUMBER = re.compile(r"\W*(?:page|pag|p|seite|s|página|no)?\W*(?:[\dlO]{1,4}|[ivxlc]{1,7})\W*", re.IGNORECASE)
+PAGE_NUMBER = re.compile(r"\W*(?:page|pag|pág|p|seite|s|página|no)?\W*(?:[\dlO]{1,4}|[ivxlc]{1,7})\W*", re.IGNORECASE)
 NOT_NAME = re.compile(r"[\W\d_]+")
 HEADER_WORDS = frozenset("the page p pag no vol i ii iii iv v vi vii viii ix x xi xii xiii xiv xv xvi xvii xviii xix xx".split())
 #: Words after which a hyphen stands for the part that follows later, as in "two- and three-masted".
@@ -379,6 +379,7 @@ class Decoder:
                 nxt = next((m for m in range(k + 1, min(len(lines), k + 12)) if kind[m] == "text"), None)
                 if nxt is not None and self.broken(toks[-1], tokens[nxt][0]):
                     joined[k] = nxt
+        targets = set(joined.values())
         paragraphs: list[list[str]] = [[]]
         carried: dict[int, bool] = {}
         for k, toks in enumerate(tokens):
@@ -397,8 +398,8 @@ class Decoder:
                 noise.append((k + 1, "header"))
             take, bad, hyphen = list(toks), carried.pop(k, False), False
             start = 0
-            if k in joined.values() and take:
-                start = 1 if carried.get(-k, True) else 0
+            if k in targets and take:
+                start = 1  # its first word belongs to the line before
             entry = None
             if k in joined:
                 hyphen = True

@@ -11,7 +11,7 @@ from inkspan.llm.quality import PAGE_BREAK
 from inkspan.session import cut_lineage
 
 #: A line that is only a page number, in lower case.
-PAGE_ONLY = r"^[^\p{L}]*(?:(?:page|pag|p|seite|página|no)[^\p{L}]*)?(?:[ivxlc]+[^\p{L}]*)?$"
+PAGE_ONLY = r"^[^\p{L}]*(?:(?:page|pag|pág|p|seite|página|no)[^\p{L}]*)?(?:[ivxlc]+[^\p{L}]*)?$"
 #: Wordings are candidates from this part of the support on, as misread copies are counted only then.
 CANDIDATE_SHARE = 0.5
 #: Letters of a segment by which copies of a wording are looked up; rows of a table small enough to be broadcast.

@@ -86,6 +86,12 @@ def _shape(x: str) -> str:
     return re.sub(r"(.)\1+", r"\1", re.sub(r"\d", "9", x))
 
 
+def _coarse(x: str) -> str:
+    """The kinds of a line's words: capitalised, plain, numbers; runs of a kind once."""
+    x = re.sub(r"\d[\d,.]*", "9", re.sub(r"[^\W\d_][\w’'-]*", lambda m: "A" if m.group()[0].isupper() else "a", x))
+    return re.sub(r"\b(\w)(?: \1)+\b", r"\1+", x)
+
+
 def _bucket(x: float) -> int:
     return int(math.log2(x + 1))
 
@@ -126,6 +132,8 @@ def closing_features(text: str, limit: tuple[int, int, int, int] | None, words:
         previous = next((x for x in reversed(lines[:-1]) if x.strip()), "")
         out.append(f"above {context} {int(is_entry(previous))} {previous.rstrip()[-1:] if not previous.rstrip()[-1:].isalnum() else 'x'}")
         out.append(f"tokens {min(12, len(toks))} {context}")
+        kinds, before = _coarse(last), [_coarse(x.strip()) for x in lines[-4:-1] if x.strip()]
+        out += [f"coarse {kinds[-40:]}", f"like {sum(k == kinds for k in before)} {kind.split()[0]}", f"commas {sum(k.count(',') == kinds.count(',') and len(k) < 24 for k in before)} {len(kinds) < 24}"]
         if entry or is_entry(previous):
             same = _shape(previous.strip()) == _shape(last)
             cells = [len(re.split(r"\t|\s{2,}|\||,|\.{4,}", x.strip())) for x in (previous, last)]
