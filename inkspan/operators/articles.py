@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkspan.config import ID_PREFIX, PERIOD_KEYWORDS, QA_TEMPLATES
 from inkspan.operators.records import first_by
+from inkspan.session import cut_lineage
 from inkspan.text.classes import NOT_W, text_of
 from inkspan.text.clean import clean_eval
 from inkspan.text.segments import let, segments, top_segments
@@ -64,7 +65,8 @@ def numbered(df: DataFrame, order: str) -> DataFrame:
     ranges before, so there is no window over all rows.
     """
     ranged = df.repartitionByRange(F.col(order)).withColumn("_p", F.spark_partition_id())
-    within = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(order)))
+    # kept as it is: another evaluation might draw other bounds
+    within = cut_lineage(ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(order))))
     counts = within.groupBy("_p").agg(F.count("*").alias("_c"))
     offsets = counts.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_o"))  # a row for each range
     return within.join(F.broadcast(offsets), "_p").withColumn("n", F.col("_o") + F.col("_k") - 1).drop("_p", "_k", "_o")
