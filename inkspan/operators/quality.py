@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
+from inkspan.session import ship_package
 from inkspan.text.classes import NOT_WS, c, rounded, text_of, tokens
 from inkspan.text.metrics import METRICS, with_scores
 
@@ -70,23 +75,64 @@ def histogram(long: DataFrame, by: list[str], bins: int = 30) -> DataFrame:
 # -- against reference texts -----------------------------------------------------------------------------------------
 
 
+def edits(a: Sequence, b: Sequence) -> int:
+    """Edit distance of two texts or lists of words of any length: one column of the matrix in each step, its differences
+    as the bits of two numbers (Myers, Hyyrö). What both begin and end with is left out before."""
+    if len(a) < len(b):
+        a, b = b, a
+    start, end = 0, len(b)
+    while start < end and a[start] == b[start]:
+        start += 1
+    while end > start and a[end - 1 + len(a) - len(b)] == b[end - 1]:
+        end -= 1
+    a, b = a[start : end + len(a) - len(b)], b[start:end]
+    if not b:
+        return len(a)
+    at: dict = {}
+    for k, x in enumerate(a):
+        at.setdefault(x, []).append(k)
+    often: dict = {}
+    full = (1 << len(a)) - 1
+    up, down = full, 0
+    for block in range(0, len(b), 64):
+        for x in b[block : block + 64]:
+            equal = often.get(x)
+            if equal is None:
+                bits = bytearray((len(a) + 7) // 8)
+                for k in at.get(x, ()):
+                    bits[k >> 3] |= 1 << (k & 7)
+                equal = int.from_bytes(bits, "little")
+                if len(at.get(x, ())) > 8:  # others are cheap to make and would be many
+                    often[x] = equal
+            same = ((equal & up) + up ^ up) | equal | down
+            rises = (down | full ^ (same | up)) << 1 | 1
+            up, down = (up & same) << 1 | full ^ (same | rises), rises & same
+        up, down = up & full, down & full  # bits above have no effect on those below
+    return len(b) + up.bit_count() - down.bit_count()
+
+
+@F.pandas_udf(LongType())
+def _char_edits(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([edits(x, y) for x, y in zip(a, b, strict=True)], dtype="int64")
+
+
+@F.pandas_udf(LongType())
+def _line_edits(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([edits(x.split("\n") if x else [], y.split("\n") if y else []) for x, y in zip(a, b, strict=True)], dtype="int64")
+
+
 def cer(hypothesis, reference) -> Column:
     """Edits per character of the reference, four digits; null where that is empty."""
+    ship_package(SparkSession.active())
     h, r = text_of(hypothesis), text_of(reference)
-    return F.when(F.length(r) > 0, rounded(F.levenshtein(r, h) / F.length(r)))
+    return F.when(F.length(r) > 0, rounded(_char_edits(r, h) / F.length(r)))
 
 
 def wer(hypothesis, reference) -> Column:
-    """Edits per word of the reference, four digits; null where that has none.
-
-    Different words become different characters, so that the built-in edit distance counts words. They are numbered
-    from U+4E00 on; texts of more than 20,000 different words have none.
-    """
+    """Edits per word of the reference, four digits; null where that has none."""
+    ship_package(SparkSession.active())
     h, r = tokens(hypothesis), tokens(reference)
-    known = F.array_distinct(F.concat(r, h))
-    index = F.map_from_entries(F.transform(known, lambda w, i: F.struct(w, i)))
-    coded = lambda ws: F.array_join(F.transform(ws, lambda w: F.decode(F.unhex(F.hex(F.lit(0x4E00) + F.try_element_at(index, w))), "UTF-16BE")), "")
-    return F.when((F.size(r) > 0) & (F.size(known) < 20_000), rounded(F.levenshtein(coded(r), coded(h)) / F.size(r)))
+    return F.when(F.size(r) > 0, rounded(_line_edits(F.array_join(r, "\n"), F.array_join(h, "\n")) / F.size(r)))
 
 
 def evaluate(ocr: DataFrame, truth: DataFrame, key: str, cleaned: DataFrame | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from inkspan.config import JUNK_CHARS
 from inkspan.operators import quality, vocabulary
+from inkspan.plans import texts
 from inkspan.text import clean, metrics, segments
 
 HARD = ["a-\nb-\nc", "|x ( y ) , z", "\n \n \n\n", "  x　", "a\x0bb\x1cc", "½ ² café ſ “q” –—", "", "NUL\0x", None, "x" * 3000, "ok ©° ∫¬"]
@@ -122,3 +123,31 @@ def test_evaluate_joins_by_key(spark):
     cleaned = spark.createDataFrame([("a", "the cat"), ("z", "lost")], "doc_id string, text string")
     got = {(r.doc_id, r.stage): (r.cer, r.wer) for r in quality.evaluate(ocr, truth, "doc_id", cleaned).collect()}
     assert got == {("a", "raw"): (0.1429, 0.5), ("b", "raw"): (None, None), ("a", "cleaned"): (0.0, 0.0)}
+
+
+def plain_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text("ab©", max_size=90), st.text("ab©", max_size=90))
+def test_edits_are_levenshtein(a, b):
+    assert quality.edits(a, b) == plain_edits(a, b) == quality.edits(list(b), list(a))
+
+
+def test_cer_wer_of_long_texts(spark, tmp_path):
+    """Pairs of any length come out, those of very different lengths and of very many different words, too."""
+    many = " ".join(f"w{k}" for k in range(25_000))
+    docs = [(1, "a", "x" * 21_000), (2, "b", "short"), (3, "c", many), (4, None, "none"), (5, "z", "no issue")]
+    issues = [(1, "a", "x" * 20_990 + "y" * 10), (2, "b", "short" + "z" * 4_995), (3, "c", many + " more"), (4, "b", "later")]
+    spark.createDataFrame(docs, "doc_id long, ark_id string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(issues, "seq long, ark_id string, raw_text string").write.parquet(f"{tmp_path}/issues.parquet")
+    got = {(r.doc_id, r.stage): (r.cer, r.wer) for r in texts.cer_wer(spark, str(tmp_path)).collect()}
+    assert {k for k in got} == {(i, s) for i in (1, 2, 3) for s in ("raw", "cleaned")}
+    assert got[1, "raw"] == (0.0005, 1.0) and got[2, "raw"] == (0.999, 1.0) and got[3, "raw"] == (0.0, 0.0)
