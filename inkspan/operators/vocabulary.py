@@ -112,7 +112,8 @@ def corrections(df: DataFrame, text_col: str, vocab: DataFrame, zipf: DataFrame,
     letters, with capitals or digits, in the vocabulary, or frequent themselves stay.
     """
     _, core, _ = decomposed("t")
-    cores = df.select(F.explode(tokens(text_col)).alias("t")).select(core.alias("word")).where((F.length("word") > 2) & ~F.col("word").rlike("^[A-Z]|[0-9]"))
+    # the generator keeps the filter above the distinct tokens, so that each is taken apart once
+    cores = df.select(F.explode(tokens(text_col)).alias("t")).distinct().select(F.explode(F.array(core)).alias("word")).where((F.length("word") > 2) & ~F.col("word").rlike("^[A-Z]|[0-9]"))
     found = cores.select(F.lower("word").alias("word")).distinct()
     fit = zipf.select("word", "zipf")
     wrong = found.join(hinted(vocab.select("word")), "word", "left_anti").join(fit.where(F.col("zipf") > threshold).select("word"), "word", "left_anti")

@@ -233,10 +233,16 @@ _CORE = "regexp_extract(tok, '(?s)^([^a-zA-Z]*)(.*?)([^a-zA-Z]*)\\z', 2)"
     "select word, arg_min(correction, {'z': -zipf, 'c': correction}) as correction from p group by word"
 )
 def spell_corrections(spark: SparkSession, d: str) -> DataFrame:
-    """Corrections of the words that consist of ASCII characters (the check's edit distance counts bytes)."""
+    """The part of spell_corrections_all that SQL can check: words of ASCII characters (the check's edit distance counts bytes)."""
     return _corrections(spark, d).where(F.col("word").rlike(r"^[\x01-\x7f]*\z"))
 
 
+@query()
+def spell_corrections_all(spark: SparkSession, d: str) -> DataFrame:
+    """Corrections of all words, those with misread characters beyond ASCII, too."""
+    return _corrections(spark, d)
+
+
 @query()
 def spell_corrected_texts(spark: SparkSession, d: str) -> DataFrame:
     return vocabulary.corrected_texts(table(spark, d, "documents", spread=True), "doc_id", "text", _corrections(spark, d))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from inkspan.config import JUNK_CHARS
 from inkspan.operators import quality, vocabulary
-from inkspan.plans import texts
+from inkspan.plans import catalog, texts
 from inkspan.text import clean, metrics, segments
 
 HARD = ["a-\nb-\nc", "|x ( y ) , z", "\n \n \n\n", "  x　", "a\x0bb\x1cc", "½ ² café ſ “q” –—", "", "NUL\0x", None, "x" * 3000, "ok ©° ∫¬"]
@@ -109,6 +109,24 @@ def test_spelling(spark):
     assert got == {1: ("Tle old house, the  mill\n x9z Hause", 1), 2: ("", 0)}
 
 
+def test_spell_corrections_are_whole(spark, tmp_path):
+    """Words with characters beyond ASCII are corrected as others are: against brute force over all pairs of words."""
+    words = ["cau∫ed", "plann©d", "la∫t", "hause", "naïve", "x∫z", "mi😀l", "©∫d", "mil", "Plann©d", "caused"]
+    vocab = ["caused", "planned", "last", "house", "mill", "naive", "cast", "laid"]
+    spark.createDataFrame([(1, " ".join(words)), (2, "last last cast"), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(" ".join(vocab),)], "text string").write.parquet(f"{tmp_path}/eval_passages.parquet")
+    seen = {"last": 2, "cast": 1, "caused": 1}
+    # every word of this small corpus is frequent by its share: those of ASCII letters alone stay as they are
+    wrong = [w for w in words if w not in vocab and not w[0].isupper() and not w.isascii()]
+    want = {}
+    for w in (re.sub("^[^a-zA-Z]+|[^a-zA-Z]+$", "", w) for w in wrong):
+        near = [v for v in vocab if plain_edits(w, v) == 1]
+        if len(w) > 2 and near:
+            want[w] = min(near, key=lambda v: (-seen.get(v, 0), v))
+    assert {"cau∫ed", "plann©d", "la∫t", "naïve", "mi😀l"} == set(want)
+    assert {r.word: r.correction for r in catalog.QUERIES["spell_corrections_all"](spark, str(tmp_path)).collect()} == want
+
+
 def test_oov_counts_all_tokens(spark):
     docs = spark.createDataFrame([(1, "the qwzx 1,5 a Qwzx."), (2, ""), (3, None)], "id int, text string")
     vocab = spark.createDataFrame([("the",)], "word string")
