@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,11 +105,13 @@ def frequent_wordings(df: DataFrame, id_col: str, text_col: str, source_col: str
     return frequent, found.join(hint(frequent.select("wording")), "wording", "left_semi")
 
 
-def prefix_span(occurrences: DataFrame, frequent: DataFrame, min_records: int = 4, min_share: float = 0.08, max_length: int = 3) -> DataFrame:
-    """(source, pattern array<bigint>, support): the frequent sequences of wordings, of one up to max_length lines.
+def prefix_span(occurrences: DataFrame, frequent: DataFrame, min_records: int = 4, min_share: float = 0.08, max_length: int | None = None) -> DataFrame:
+    """(source, pattern array<bigint>, support): the frequent sequences of wordings, of one up to max_length lines, or
+    of any length.
 
     PrefixSpan: the projected database of a pattern holds, for each record, what follows its first occurrence; items
-    frequent there extend the pattern. Every level is one aggregation by (source, pattern, item).
+    frequent there extend the pattern. Every level is one aggregation by (source, pattern, item); an empty one is the
+    last. All frequent sequences come out, so a block of n lines has 2 ** n - 1 of them.
     """
     records = frequent.select("source", "records").distinct()
     rows = F.sort_array(F.collect_list(F.struct("doc", "line_no", "wording")))
@@ -116,7 +119,7 @@ def prefix_span(occurrences: DataFrame, frequent: DataFrame, min_records: int =
     least = F.greatest(F.lit(min_records), F.ceil(F.col("records") * min_share))
     base = cut_lineage(start.withColumn("pattern", F.array().cast("array<bigint>")))
     levels = []
-    for length in range(1, max_length + 1):
+    for length in count(1):
         items = base.select("source", "record", "pattern", "rest", F.explode(F.array_distinct("rest")).alias("item"))
         grown = items.select("source", "record", F.concat("pattern", F.array("item")).alias("pattern"), "rest", "item")
         support = (
@@ -124,11 +127,15 @@ def prefix_span(occurrences: DataFrame, frequent: DataFrame, min_records: int =
             .join(records, "source").where(F.col("support") >= least).select("source", "pattern", "support")
         )
         level = cut_lineage(support)
+        if levels and level.isEmpty():
+            break
         levels.append(level)
         if length == max_length:
             break
         rest = F.expr("slice(rest, cast(array_position(rest, item) as int) + 1, size(rest))")
-        base = grown.join(level, ["source", "pattern"], "left_semi").select("source", "record", "pattern", rest.alias("rest")).where("size(rest) > 0")
+        base = cut_lineage(grown.join(level, ["source", "pattern"], "left_semi").select("source", "record", "pattern", rest.alias("rest")).where("size(rest) > 0"))
+        if base.isEmpty():
+            break
     return reduce(DataFrame.unionByName, levels)
 
 

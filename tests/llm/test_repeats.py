@@ -30,6 +30,18 @@ def test_sequences(spark):
     assert sorted((len(r.pattern), r.support) for r in patterns) == [(1, 6), (1, 20), (2, 6)]
 
 
+def test_sequences_of_any_length(spark):
+    """A masthead of five lines is one sequence of five lines; all its parts are frequent, too."""
+    head = ["The Kettle Courier of the harbor", "Founded by the printers of Ashgrove", "Delivered to every household", "Advertisements are taken at noon", "Subscriptions must be paid before winter"]
+    rows = [(k, "\n".join([*head, f"Story {'abcdefghijkl'[k] * 15}"]), "P", f"r{k}") for k in range(12)]
+    df = spark.createDataFrame(rows, "doc int, text string, source string, record string")
+    frequent, occurrences = repeats.frequent_wordings(df, "doc", "text", "source", "record")
+    patterns = repeats.prefix_span(occurrences, frequent).collect()
+    assert Counter(len(r.pattern) for r in patterns) == {1: 5, 2: 10, 3: 10, 4: 5, 5: 1} and {r.support for r in patterns} == {12}
+    keys = {r.wording: r.key for r in frequent.collect()}
+    assert [keys[w] for r in patterns if len(r.pattern) == 5 for w in r.pattern] == ["".join(x.lower().split()) for x in head]
+
+
 def test_cleaned(spark):
     df = frame(spark)
     lines = repeats.repeated_lines(df, "doc", "line_no", "source", "record")
