@@ -103,27 +103,53 @@ def word_counts(df: DataFrame, text_col: str) -> DataFrame:
 
 @dataclass
 class Lexicon:
-    """Frequent words with counts, confusion probabilities and the table of word pairs."""
+    """Frequent words with counts, confusion probabilities, rare words whose counts matter and the table of word pairs."""
 
     total: int
     packed: bytes
     counts: np.ndarray
     rules: dict[tuple[str, str], float]
+    rare: dict[str, int]
     pairs: bytes = b""
 
 
 def fit_lexicon(df: DataFrame, text_col: str) -> Lexicon:
-    """Words above a share of all words (so at most 1 / MIN_SHARE of them reach the driver), and rule probabilities."""
+    """Words above a share of all words (so at most 1 / MIN_SHARE of them reach the driver), rule probabilities, and the
+    rarer words whose exact counts decide what they may be read as."""
     counted = word_counts(df, text_col).persist()
     try:
         total = counted.agg(F.sum("n")).first()[0] or 0
-        kept = counted.where(F.col("n") >= max(MIN_COUNT, math.ceil(MIN_SHARE * total))).toArrow()
+        least = max(MIN_COUNT, math.ceil(MIN_SHARE * total))
+        kept = counted.where(F.col("n") >= least).toArrow()
+        words, counts = kept.column("word").to_pylist(), kept.column("n").to_numpy()
+        order = sorted(range(len(words)), key=lambda k: (-counts[k], words[k]))
+        words, counts = [words[k] for k in order], np.asarray(counts, dtype=np.int64)[order] if len(order) else np.zeros(0, np.int64)
+        lexicon = Lexicon(total, zlib.compress("\n".join(words).encode(), 1), counts, confusion_rates(dict(zip(words, counts.tolist(), strict=True))), {})
+        lexicon.rare = rare_counts(counted.where(F.col("n") < least), lexicon)
     finally:
         counted.unpersist()
-    words, counts = kept.column("word").to_pylist(), kept.column("n").to_numpy()
-    order = sorted(range(len(words)), key=lambda k: (-counts[k], words[k]))
-    words, counts = [words[k] for k in order], np.asarray(counts, dtype=np.int64)[order] if len(order) else np.zeros(0, np.int64)
-    return Lexicon(total, zlib.compress("\n".join(words).encode(), 1), counts, confusion_rates(dict(zip(words, counts.tolist(), strict=True))))
+    return lexicon
+
+
+def rare_counts(rare: DataFrame, lexicon: Lexicon) -> dict[str, int]:
+    """Counts of the words below the lexicon's share that have other readings than a word that never occurs.
+
+    Of the others the count makes no difference, so they needn't be known."""
+    shared = rare.sparkSession.sparkContext.broadcast(lexicon)
+
+    def make():
+        decoder = _decoder(shared)
+
+        def go(cols):
+            return [(w, n) for w, n in zip(*cols, strict=True) if decoder.readings(w, n) != decoder.readings(w, 0)] if cols else []
+
+        return go
+
+    # up to MIN_COUNT occurrences change nothing but in the shortest words
+    sought = rare.where((F.col("n") > MIN_COUNT) | (F.length("word") <= 2))
+    found = map_partitions(sought, ["word", "n"], make, "word string, n bigint").toArrow()
+    shared.unpersist()
+    return dict(sorted(zip(found.column("word").to_pylist(), found.column("n").to_pylist(), strict=True)))
 
 
 def confusion_rates(count: dict[str, int]) -> dict[tuple[str, str], float]:
@@ -207,7 +233,8 @@ class Decoder:
     def __init__(self, lexicon: Lexicon):
         words = zlib.decompress(lexicon.packed).decode().split("\n") if len(lexicon.counts) else []
         self.count = dict(zip(words, lexicon.counts.tolist(), strict=True))
-        self.ids = {w: k for k, w in enumerate(words, 1)}
+        self.rare = lexicon.rare
+        self.ids = {w: k for k, w in enumerate([*words, *self.rare], 1)}
         self.total = max(1, lexicon.total)
         self.rules = [(a, b, lexicon.rules.get((a, b), PRIOR)) for a, b in RULES]
         self.by_first: dict[str, list] = {}
@@ -227,14 +254,12 @@ class Decoder:
                 if w.startswith(b, k):
                     yield w[:k] + a + w[k + len(b) :], p
 
-    def candidates(self, w: str) -> list[tuple[str, float]] | None:
-        """None for a word that stands for itself, else its readings with the channel's log probabilities, itself
-        included where that is possible. An empty list: odd, without a known reading."""
-        if w in self.parts:
-            return self.parts[w]
-        if len(self.parts) > 400_000:
-            self.parts.clear()
-        own = self.count.get(w, 0)
+    def own(self, w: str) -> int:
+        """How often a word stands in the corpus; 0 also for rare ones whose count makes no difference."""
+        return self.count.get(w) or self.rare.get(w, 0)
+
+    def readings(self, w: str, own: int) -> dict[str, float]:
+        """The frequent words that a word of so many occurrences may be a misreading of, with log probabilities."""
         odd = not (w.isalpha() and "ſ" not in w)
         out: dict[str, float] = {}
         if len(w) > 1 or odd:
@@ -247,11 +272,22 @@ class Decoder:
                     for v, q in self.variants(u):
                         if v != w and self.count.get(v, 0) >= 20 and v.isalpha():
                             out[v] = max(out.get(v, -99.0), math.log(p * q))
+        return out
+
+    def candidates(self, w: str) -> list[tuple[str, float]] | None:
+        """None for a word that stands for itself, else its readings with the channel's log probabilities, itself
+        included where that is possible. An empty list: odd, without a known reading."""
+        if w in self.parts:
+            return self.parts[w]
+        if len(self.parts) > 400_000:
+            self.parts.clear()
+        odd = not (w.isalpha() and "ſ" not in w)
+        out = self.readings(w, self.own(w))
         if odd:
             found = list(out.items())
         elif out:
             # the word as it stands is a state of the search, too: rare words have their say through their neighbours
-            found = [*out.items(), (w, LOG_DOUBT)] if own else list(out.items())
+            found = [*out.items(), (w, LOG_DOUBT)]
         else:
             found = None
         self.parts[w] = found
@@ -304,7 +340,7 @@ class Decoder:
         return bool(self.count.get(w)) and not ODD.search(w) or any(self.count.get(v, 0) >= 3 and v.isalpha() for v, _ in self.variants(w))
 
     def known(self, w: str) -> bool:
-        return self.count.get(w, 0) >= 3 and not self.candidates(w)
+        return self.own(w) >= 3 and not self.candidates(w)
 
     # -- lines ----------------------------------------------------------------------------------------------------
 

@@ -63,3 +63,20 @@ def test_viterbi_uses_neighbours(spark):
     readings = decoder.viterbi(["rose", [("last", -7.0), ("lost", ocr.LOG_DOUBT)], "night"])
     assert readings == ["rose", "last", "night"]
     assert decoder.candidates("last") is None
+
+
+def test_rare_words_keep_their_counts(spark, monkeypatch):
+    """A name below the lexicon's share, beside a frequent word that it might be a misreading of, stands for itself; a
+    single misreading of that word doesn't."""
+    rows = [(k, f"the mayor halton spoke at the harbor on day {'abcdefghij'[k % 10]}", "x") for k in range(300)]
+    rows += [(1000 + k, "a farmer named holton sold the wool", "x") for k in range(20)] + [(2000, "the mayor haltou spoke at the harbor", "x")]
+    df = spark.createDataFrame(rows, "seq int, raw_text string, newspaper string")
+    total = sum(len(r[1].split()) for r in rows)
+    monkeypatch.setattr(ocr, "MIN_SHARE", 24.5 / total)
+    lexicon = ocr.fit_pairs(df, "raw_text", ocr.fit_lexicon(df, "raw_text"))
+    decoder = ocr.Decoder(lexicon)
+    assert "holton" not in decoder.count and lexicon.rare["holton"] == 20 and decoder.candidates("holton") is None
+    assert {v for v, _ in decoder.candidates("haltou")} == {"halton", "haltou"}
+    got = {r.seq: r for r in ocr.repair_pages(df, "seq", "raw_text", "newspaper", lexicon).collect()}
+    assert all(got[1000 + k].noise == [] and "holton" in got[1000 + k].repaired for k in range(20))
+    assert [(n.line_no, n.noise) for n in got[2000].noise] == [(1, "misread")] and "halton" in got[2000].repaired
