@@ -1,13 +1,16 @@
 """Evaluation passages that stand in corpus documents, whole or in part.
 
-Both sides are reduced to letters and digits. Sampled q-grams of a document that also stand in a passage are counted in
-overlapping bands of diagonals; by the q-gram lemma a passage part with few misread characters keeps a known number of
-them, so bands with fewer in the length of such a part are out. What remains is aligned within the band.
+Both sides are reduced to letters and digits of any script. Sampled q-grams of a document that also stand in a passage are
+counted in overlapping bands of diagonals; by the q-gram lemma a passage part with few misread characters keeps a known
+number of them, so bands with fewer in the length of such a part are out. What remains is aligned within the band, by the
+furthest-reaching points of its diagonals for each number of edits.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,24 +20,45 @@ from pyspark.sql.types import StructType
 
 from inkspan.llm.arrow import map_partitions, struct
 
-#: Letters of a q-gram, distance of those looked up in a document, width of a band of diagonals.
-Q, STEP, BAND = 16, 4, 8
-#: Edits in a part of WORDS words up to which it is surely found: each spoils at most Q / STEP sampled q-grams.
-WORDS, EDITS = 30, 4
+#: Edits in a part of WORDS words up to which it is found, wherever they are.
+WORDS, EDITS = 30, 6
+#: Letters of a q-gram, distance of those looked up in a document. An edit spoils at most Q / STEP of these.
+Q, STEP = 12, 4
+#: Width of a band of diagonals; the bands overlap by half, so EDITS + 1 adjacent diagonals share one.
+BAND = 2 * EDITS
 #: Letters of the passages that are looked up at a time; more passages take more rounds over the documents.
 BLOCK = 4_000_000
-_ASCII = bytes(ord(chr(k).lower()) if k < 128 else 0 for k in range(256))
-_DELETE = bytes(k for k in range(256) if not chr(k).isalnum() or k >= 128)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _FILTER_BITS = 22
-_OPTIONS = ((1, 1), (1, 2), (2, 1), (1, 0), (0, 1), (2, 2), (2, 0), (0, 2), (3, 3))
+_OTHER = re.compile(r"[^\W\x00-\x7f]")
+_ASCII = bytes(ord(chr(k).lower()) if k < 128 else 0 for k in range(256))
+_DELETE = bytes(k for k in range(256) if not chr(k).isalnum() or k >= 128)
 SCHEMA = "item_id bigint, words int, passage_words int, passage_start int, passage_end int"
 
 
-def letters(text: str) -> bytes:
-    """Lower-case ASCII letters and digits of a text: accents, case, spaces, line breaks, punctuation don't count."""
-    return unicodedata.normalize("NFKD", text).encode("ascii", "ignore").translate(_ASCII, _DELETE)
+class _Folded(dict):
+    """Character -> its lower-case letter or digit, or nothing; filled as characters are met."""
+
+    def __missing__(self, k: int) -> str:
+        x = chr(k).lower()
+        self[k] = x = x[0] if x[:1].isalnum() else ""
+        return x
+
+
+_FOLDED = _Folded()
+
+
+def letters(text: str) -> str:
+    """Lower-case letters and digits of a text: accents, case, spaces, line breaks, punctuation don't count."""
+    plain = text if text.isascii() else unicodedata.normalize("NFKD", text)
+    if _OTHER.search(plain):
+        return plain.translate(_FOLDED)
+    return plain.encode("ascii", "ignore").translate(_ASCII, _DELETE).decode()
+
+
+def _codes(data: str) -> np.ndarray:
+    return np.frombuffer(data.encode("ascii"), np.uint8) if data.isascii() else np.frombuffer(data.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 class _Powers:
@@ -50,14 +74,14 @@ class _Powers:
         return cls.up[:n], cls.down[:n]
 
 
-def qgrams(data: bytes, step: int) -> np.ndarray:
+def qgrams(data: str, step: int) -> np.ndarray:
     """Hashes of the q-grams at every step-th position."""
     n = len(data)
     if n < Q:
         return np.zeros(0, np.uint64)
     up, down = _Powers.of(n)
     with np.errstate(over="ignore"):
-        total = np.concatenate([[np.uint64(0)], np.cumsum(np.frombuffer(data, np.uint8) * up, dtype=np.uint64)])
+        total = np.concatenate([[np.uint64(0)], np.cumsum(_codes(data) * up, dtype=np.uint64)])
         h = (total[Q::step] - total[:-Q:step][: len(total[Q::step])]) * down[: n - Q + 1 : step]
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
@@ -69,8 +93,9 @@ class Passages:
     """Index of a block of passages: every q-gram with all the places where it stands."""
 
     ids: list
-    texts: list[bytes]
-    ends: list[np.ndarray]  # of each passage's words, in letters
+    texts: list[str]
+    starts: list[list[int]]  # of each passage's words, in letters
+    ends: list[list[int]]
     least: list[int]  # letters of the shortest run of WORDS words; 0: fewer words
     keys: np.ndarray
     first: np.ndarray
@@ -81,32 +106,34 @@ class Passages:
 
     @classmethod
     def build(cls, rows: list[tuple], words: int = WORDS) -> Passages:
-        ids, texts, ends, least, hs, ps, at = [], [], [], [], [], [], []
+        ids, texts, starts, ends, least, hs, ps, at = [], [], [], [], [], [], [], []
         for key, text in rows:
-            parts = [len(x) for w in (text or "").split() if (x := letters(w))]
+            parts = [x for w in (text or "").split() if (x := letters(w))]
             if len(parts) < words:
                 continue
-            data = letters(text)
-            e = np.cumsum(parts)
-            starts = e - parts
+            data = "".join(parts)
+            e = np.cumsum([len(x) for x in parts])
+            b = e - [len(x) for x in parts]
             h = qgrams(data, 1)
             hs.append(h)
             ps.append(np.full(len(h), len(ids), np.int32))
             at.append(np.arange(len(h), dtype=np.int32))
             ids.append(key)
             texts.append(data)
-            ends.append(e)
-            least.append(int((e[words - 1 :] - starts[: len(e) - words + 1]).min()))
+            starts.append(b.tolist())
+            ends.append(e.tolist())
+            least.append(int((e[words - 1 :] - b[: len(e) - words + 1]).min()))
         h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
         order = np.argsort(h, kind="stable")
         keys, first, count = np.unique(h[order], return_index=True, return_counts=True)
         present = np.zeros(1 << _FILTER_BITS, bool)
         present[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-        return cls(ids, texts, ends, least, keys, first, count, np.concatenate(ps)[order] if hs else np.zeros(0, np.int32), np.concatenate(at)[order] if hs else np.zeros(0, np.int32), present)
+        none = np.zeros(0, np.int32)
+        return cls(ids, texts, starts, ends, least, keys, first, count, np.concatenate(ps)[order] if hs else none, np.concatenate(at)[order] if hs else none, present)
 
-    def candidates(self, data: bytes, starts: np.ndarray) -> list[tuple[int, int, int]]:
-        """(passage, place in it, place in data) of a hit in every region that meets the bound. data: documents one
-        after the other, beginning at starts."""
+    def candidates(self, data: str, starts: np.ndarray) -> list[tuple[int, int, int]]:
+        """(passage, place in it, place in data) of one hit of each run of hits on a diagonal, in all regions that meet
+        the bound. data: documents one after the other, beginning at starts, which are multiples of STEP."""
         h = qgrams(data, STEP)
         if not len(h) or not len(self.keys):
             return []
@@ -123,38 +150,78 @@ class Passages:
         passage, place = self.passage[flat], self.place[flat].astype(np.int64)
         where = np.repeat(some.astype(np.int64) * STEP, n)
         least = np.asarray(self.least)
-        needed = np.maximum(1, (least - Q) // STEP - EDITS * (Q // STEP))
+        needed = np.maximum(1, (least - EDITS - Q + 1) // STEP - EDITS * -(-Q // STEP))
         # a document that shares fewer q-grams with a passage in all has no band that meets the bound
         pair = (np.searchsorted(starts, where, "right") - 1) * len(self.ids) + passage
-        enough = np.bincount(pair, minlength=1)[pair] >= needed[passage]
+        order = np.argsort(pair, kind="stable")
+        _, at, n = np.unique(pair[order], return_index=True, return_counts=True)
+        enough = order[np.repeat(n >= needed[passage[order][at]], n)]
         passage, place, where = passage[enough], place[enough], where[enough]
-        found: dict[tuple[int, int], tuple[int, int, int]] = {}
+        inside = np.zeros(len(place), bool)
         for shift in (0, BAND // 2):
             band = (where - place + shift) // BAND
             order = np.lexsort((place, band, passage))
-            p, b, x, w = passage[order], band[order], place[order], where[order]
-            need = needed[p]
-            last = np.arange(len(p)) + need - 1
+            p, b, x = passage[order], band[order], place[order]
+            last = np.arange(len(p)) + needed[p] - 1
             ok = last < len(p)
             i, j = np.flatnonzero(ok), last[ok]
-            hit = i[(p[j] == p[i]) & (b[j] == b[i]) & (x[j] - x[i] <= least[p[i]])]
-            if len(hit):
-                # one hit of each stretch of a band is enough to align from
-                fresh = np.concatenate([[True], (p[hit][1:] != p[hit][:-1]) | (b[hit][1:] != b[hit][:-1]) | (x[hit][1:] - x[hit][:-1] > Q)])
-                for a in hit[fresh]:
-                    found.setdefault((int(p[a]), int(w[a] - x[a]) // BAND, int(x[a]) // 64), (int(p[a]), int(x[a]), int(w[a])))
-        return list(found.values())
-
-    def words_in(self, k: int, a: int, b: int) -> int:
-        """Whole words of passage k within its letters a to b."""
-        e = self.ends[k]
-        starts = np.concatenate([[0], e[:-1]])
-        return max(0, int(np.searchsorted(e, b, "right")) - int(np.searchsorted(starts, a, "left")))
-
-
-def _run(a: bytes, i: int, b: bytes, j: int) -> int:
+            good = (p[j] == p[i]) & (b[j] == b[i]) & (x[j] - x[i] <= least[p[i]])
+            change = np.zeros(len(p) + 1, np.int64)
+            np.add.at(change, i[good], 1)
+            np.add.at(change, j[good] + 1, -1)
+            inside[order[np.cumsum(change[:-1]) > 0]] = True
+        passage, place, where = passage[inside], place[inside], where[inside]
+        if not len(place):
+            return []
+        # q-grams on one diagonal that touch are one run of equal letters: one of them is enough to align from
+        diagonal = where - place
+        order = np.lexsort((place, diagonal, passage))
+        p, g, x, w = passage[order], diagonal[order], place[order], where[order]
+        fresh = np.concatenate([[True], (p[1:] != p[:-1]) | (g[1:] != g[:-1]) | (x[1:] - x[:-1] > Q)])
+        return list(zip(p[fresh].tolist(), x[fresh].tolist(), w[fresh].tolist(), strict=True))
+
+    def stretch(self, k: int, x: int, data: str, y: int, words: int = WORDS) -> tuple[int, int] | None:
+        """First and last word of the longest part of passage k through the hit at x that stands in data, at y, with at
+        most EDITS edits; None for fewer than ``words`` words. Words at its ends are at least half right."""
+        a, starts, ends = self.texts[k], self.starts[k], self.ends[k]
+        right = [x + Q + r for r in reach(a[x + Q :], data[y + Q : y + Q + len(a) - x + EDITS])]
+        left = [x - r for r in reach(a[:x][::-1], data[max(0, y - x - EDITS) : y][::-1])]
+        best = None
+        for e in range(EDITS + 1):
+            i, j = self._first(left, e, starts, ends, x), self._last(right, EDITS - e, starts, ends, x + Q)
+            if j - i + 1 >= words and (best is None or j - i > best[1] - best[0]):
+                best = (i, j)
+        return best
+
+    @staticmethod
+    def _last(right: list[int], e: int, starts: list[int], ends: list[int], sure: int) -> int:
+        """The last word that ends within e edits to the right."""
+        j = bisect_right(ends, right[e]) - 1
+        while j >= 0 and ends[j] > sure:
+            cost = bisect_left(right, ends[j])
+            if cost - bisect_left(right, max(sure, starts[j])) <= max(1, (ends[j] - starts[j]) // 2):
+                break
+            j -= 1
+        return j
+
+    @staticmethod
+    def _first(left: list[int], e: int, starts: list[int], ends: list[int], sure: int) -> int:
+        """The first word that begins within e edits to the left."""
+        i = bisect_left(starts, left[e])
+        back = [-v for v in left]
+        while i < len(starts) and starts[i] < sure:
+            cost = bisect_left(back, -starts[i])
+            if cost - bisect_left(back, -min(sure, ends[i])) <= max(1, (ends[i] - starts[i]) // 2):
+                break
+            i += 1
+        return i
+
+
+def _run(a: str, i: int, b: str, j: int) -> int:
     """Length of the common run of a from i and b from j."""
     n, most = 0, min(len(a) - i, len(b) - j)
+    if most <= 0 or a[i] != b[j]:
+        return 0
     size = 16
     while n < most:
         size = min(size, most - n)
@@ -168,49 +235,49 @@ def _run(a: bytes, i: int, b: bytes, j: int) -> int:
     return n
 
 
-def _extend(a: bytes, i: int, b: bytes, j: int) -> tuple[int, int]:
-    """Where the alignment of a from i with b from j ends, scattered misread characters passed over."""
-    n = _run(a, i, b, j)
-    i, j = i + n, j + n
-    while i < len(a) and j < len(b):
-        best, score = None, 0
-        for di, dj in _OPTIONS:
-            n = _run(a, i + di, b, j + dj) if i + di <= len(a) and j + dj <= len(b) else 0
-            if n - di - dj > score:
-                best, score = (di, dj, n), n - di - dj
-        if best is None or best[2] < 5 and i + best[0] + best[2] < len(a):
-            # two misreadings close together: accept a short run if a long one follows it
-            good = None
-            for di, dj in _OPTIONS:
-                if i + di > len(a) or j + dj > len(b):
-                    continue
-                m = _run(a, i + di, b, j + dj)
-                for ei, ej in _OPTIONS[:5]:
-                    x, y = i + di + m + ei, j + dj + m + ej
-                    n = _run(a, x, b, y) if x <= len(a) and y <= len(b) else 0
-                    if n >= 8 and (good is None or m + n > good[0]):
-                        good = (m + n, x + n, y + n)
-            if good is None:
-                return i, j
-            i, j = good[1], good[2]
-        else:
-            i, j = i + best[0] + best[2], j + best[1] + best[2]
-    return i, j
+def reach(a: str, b: str, edits: int = EDITS) -> list[int]:
+    """For 0, 1, ... edits: how many letters of a can be aligned with a beginning of b.
+
+    The band of 2 * edits + 1 diagonals, of each of which only the furthest-reaching cell for a number of edits is kept:
+    what the whole matrix would give."""
+    n, m = len(a), len(b)
+    run = _run(a, 0, b, 0)
+    at, out = {0: run}, [run]
+    for _ in range(edits):
+        if out[-1] >= n:
+            out.append(n)
+            continue
+        new = {}
+        for d in range(min(at) - 1, max(at) + 2):
+            # a letter of a misread; one of b too many; one of a missing
+            i = max(at.get(d, -2) + 1, at.get(d - 1, -1), at.get(d + 1, -2) + 1)
+            i = min(i, n, m - d)
+            if i >= 0 and i + d >= 0:
+                new[d] = i + _run(a, i, b, i + d)
+        at = new
+        out.append(max(out[-1], max(at.values(), default=0)))
+    return out
 
 
-def align(passage: bytes, x: int, data: bytes, y: int) -> tuple[int, int]:
-    """Start and end, in the passage, of the stretch around place x that stands in data around place y."""
-    end, _ = _extend(passage, x, data, y)
-    back, _ = _extend(passage[:x][::-1], 0, data[max(0, y - 2 * x - 64) : y][::-1], 0)  # no alignment reaches further
-    return x - back, end
+def _longest(parts: list[tuple[int, int]]) -> tuple[int, int]:
+    """The longest of the parts, those that overlap taken together."""
+    merged: list[list[int]] = []
+    for i, j in sorted(parts):
+        if merged and i <= merged[-1][1]:
+            merged[-1][1] = max(j, merged[-1][1])
+        else:
+            merged.append([i, j])
+    return tuple(max(merged, key=lambda r: r[1] - r[0]))
 
 
 def find_leaks(df: DataFrame, id_col: str, text_col: str, passages: DataFrame, item_col: str, passage_col: str, words: int = WORDS) -> DataFrame:
     """(doc, item_id, words, passage_words, passage_start, passage_end): each document and item of which at least
-    ``words`` consecutive words stand in it; the longest stretch of each pair.
+    ``words`` consecutive words stand in it with at most EDITS edits; the longest such part of each pair, longer where
+    such parts overlap. Places are letters of the passage.
 
     Null or short texts on either side have no row; repeated documents and items each have theirs. The passages are
-    broadcast in blocks of bounded size; documents are read once for each block and never shuffled.
+    broadcast in blocks of bounded size; documents are read once for each block and never shuffled. A document's rows
+    don't depend on those beside it.
     """
     spark = df.sparkSession
     items = passages.select(F.col(f"`{item_col}`").alias("id"), F.col(f"`{passage_col}`").alias("text")).where("text is not null")
@@ -230,21 +297,21 @@ def find_leaks(df: DataFrame, id_col: str, text_col: str, passages: DataFrame, i
                 if not cols or not index.ids:
                     return []
                 keys, texts = cols
-                data = [letters(t) if t else b"" for t in texts]
-                gap = b"\0" * Q
-                joined = gap.join(data)
-                starts = np.cumsum([0, *[len(x) + Q for x in data[:-1]]])
-                best: dict[tuple[int, int], tuple] = {}
+                data = [letters(t) if t else "" for t in texts]
+                # each document begins at a multiple of STEP, after a gap that no q-gram of a passage spans
+                joined = "".join([x + "\0" * (Q + -(len(x) + Q) % STEP) for x in data])
+                starts = np.cumsum([0, *[len(x) + Q + -(len(x) + Q) % STEP for x in data[:-1]]])
+                found: dict[tuple[int, int], list[tuple]] = {}
                 for p, x, y in index.candidates(joined, starts):
                     d = int(np.searchsorted(starts, y, "right")) - 1
-                    known = best.get((d, p))
-                    if known and known[1] <= x < known[2]:
-                        continue
-                    a, b = align(index.texts[p], x, data[d], y - int(starts[d]))
-                    n = index.words_in(p, a, b)
-                    if n >= words and (not known or n > known[0]):
-                        best[d, p] = (n, a, b)
-                return [(keys[d], index.ids[p], n, len(index.ends[p]), a, b) for (d, p), (n, a, b) in best.items()]
+                    part = index.stretch(p, x, data[d], y - int(starts[d]), words)
+                    if part:
+                        found.setdefault((d, p), []).append(part)
+                out = []
+                for (d, p), parts in found.items():
+                    i, j = _longest(parts)
+                    out.append((keys[d], index.ids[p], j - i + 1, len(index.ends[p]), index.starts[p][i], index.ends[p][j]))
+                return out
 
             return go
 

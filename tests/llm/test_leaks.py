@@ -16,7 +16,7 @@ def dirty(text, rng, rate=0.015):
 def brute(data, passage, words=30):
     """Whether any run of that many words stands in data exactly."""
     parts = [leaks.letters(w) for w in passage.split()]
-    return any(b"".join(parts[k : k + words]) in data for k in range(len(parts) - words + 1))
+    return any("".join(parts[k : k + words]) in data for k in range(len(parts) - words + 1))
 
 
 def test_finds_all_planted_and_nothing_else(spark):
@@ -65,3 +65,97 @@ def test_blocks_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(leaks, "BLOCK", 1500)
     got = {(r.doc, r.item_id) for r in leaks.find_leaks(df, "id", "text", ev, "id", "text").collect()}
     assert got == {(k, k) for k, _ in items}
+
+
+def found(docs, items):
+    """(doc, item) by the index alone, the documents joined as a batch."""
+    index = leaks.Passages.build(items)
+    out = set()
+    data = [leaks.letters(t) for t in docs]
+    pad = [x + "\0" * (leaks.Q + -(len(x) + leaks.Q) % leaks.STEP) for x in data]
+    at = [0]
+    for x in pad[:-1]:
+        at.append(at[-1] + len(x))
+    import numpy as np
+
+    for p, x, y in index.candidates("".join(pad), np.array(at)):
+        d = int(np.searchsorted(at, y, "right")) - 1
+        if index.stretch(p, x, data[d], y - at[d]):
+            out.add((d, index.ids[p]))
+    return out
+
+
+def spoilt(text, rng, edits):
+    """Letters substituted, dropped or doubled, anywhere."""
+    chars = list(text)
+    for k in rng.sample([k for k, c in enumerate(chars) if c.isalpha()], edits):
+        chars[k] = rng.choice([rng.choice("abcdefghijklmnopqrstuvwxyz"), "", chars[k] + rng.choice("xyz"), "1"])
+    return "".join(chars)
+
+
+def test_thirty_words_with_misread_letters_anywhere():
+    rng = random.Random(17)
+    for edits in range(leaks.EDITS + 1):
+        items = [(k, sentence(rng, 70)) for k in range(60)]
+        docs, want = [], set()
+        for d in range(180):
+            k = rng.randrange(60)
+            parts = items[k][1].split()
+            at = rng.randrange(0, len(parts) - 30 + 1)
+            docs.append(sentence(rng, rng.randrange(50)) + " " + spoilt(" ".join(parts[at : at + 30]), rng, edits) + " " + sentence(rng, rng.randrange(50)))
+            want.add((d, k))
+        assert found(docs, items) == want
+
+
+def test_shorter_parts_and_many_errors_are_none():
+    rng = random.Random(18)
+    items = [(k, sentence(rng, 70)) for k in range(40)]
+    docs = []
+    for d in range(200):
+        parts = rng.choice(items)[1].split()
+        n = rng.choice([10, 20, 27])
+        at = rng.randrange(0, len(parts) - n + 1)
+        docs.append(sentence(rng, 40) + " " + " ".join(parts[at : at + n]) + " " + sentence(rng, 40))
+    assert not found(docs, items)
+    assert not found([spoilt(t, rng, 40) for _, t in items], items)
+
+
+def test_reach_equals_the_whole_matrix():
+    rng = random.Random(19)
+    for _ in range(300):
+        a = "".join(rng.choice("abc") for _ in range(rng.randrange(20)))
+        b = spoilt(a, rng, min(len(a), rng.randrange(5))) + "".join(rng.choice("abc") for _ in range(rng.randrange(5)))
+        least = []
+        row = list(range(len(b) + 1))
+        least.append(min(row))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j - 1] + (x != y), row[j] + 1, new[j - 1] + 1))
+            row = new
+            least.append(min(row))
+        for e, r in enumerate(leaks.reach(a, b, 4)):
+            assert r == max(i for i, v in enumerate(least) if v <= e)
+
+
+def test_other_scripts():
+    rng = random.Random(20)
+    words = ["Москва", "газета", "вечер", "новый", "городской", "театр", "улица", "слово", "война", "письмо", "Ёлка", "река"]
+    passage = " ".join(rng.choice(words) + rng.choice(["", "м", "ов", "ами"]) for _ in range(45))
+    other = " ".join(rng.choice(words) + rng.choice(["", "у", "ой", "ах"]) for _ in range(45))
+    docs = [other + " " + passage.upper().replace(" ", "\n", 3).replace("О", "0", 2) + " " + other, other + " " + " ".join(passage.split()[:25]), other]
+    assert found(docs, [(1, passage)]) == {(0, 1)}
+
+
+def test_rows_do_not_depend_on_neighbours(spark):
+    rng = random.Random(21)
+    items = [(k, sentence(rng, 60)) for k in range(20)]
+    docs = []
+    for d in range(160):
+        parts = rng.choice(items)[1].split()
+        at = rng.randrange(0, 25)
+        docs.append((d, sentence(rng, rng.randrange(40)) + " " + spoilt(" ".join(parts[at : at + 33]), rng, rng.choice([5, 6, 7, 8, 9, 10]))))
+    ev = spark.createDataFrame(items, "id int, text string")
+    df = spark.createDataFrame(docs, "id int, text string")
+    rows = [sorted(tuple(r) for r in leaks.find_leaks(x, "id", "text", ev, "id", "text").collect()) for x in (df.coalesce(1), df.repartition(16), df.orderBy("text"))]
+    assert rows[0] == rows[1] == rows[2] and rows[0]
