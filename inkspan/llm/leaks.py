@@ -31,6 +31,8 @@ BLOCK = 4_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _FILTER_BITS = 22
+#: Letters that are compared at a time, and the padding that lets comparisons run over the ends.
+_LOOK, _PAD = 8, 16
 _OTHER = re.compile(r"[^\W\x00-\x7f]")
 _ASCII = bytes(ord(chr(k).lower()) if k < 128 else 0 for k in range(256))
 _DELETE = bytes(k for k in range(256) if not chr(k).isalnum() or k >= 128)
@@ -103,6 +105,9 @@ class Passages:
     passage: np.ndarray
     place: np.ndarray
     present: np.ndarray
+    codes: np.ndarray  # the texts one after the other, apart by characters that no document has
+    offsets: np.ndarray
+    sizes: np.ndarray
 
     @classmethod
     def build(cls, rows: list[tuple], words: int = WORDS) -> Passages:
@@ -129,7 +134,10 @@ class Passages:
         present = np.zeros(1 << _FILTER_BITS, bool)
         present[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
         none = np.zeros(0, np.int32)
-        return cls(ids, texts, starts, ends, least, keys, first, count, np.concatenate(ps)[order] if hs else none, np.concatenate(at)[order] if hs else none, present)
+        gap = "\1" * _PAD
+        codes, sizes = _codes(gap + "".join(t + gap for t in texts)), np.array([len(t) for t in texts], dtype=np.int64)
+        offsets = _PAD + np.concatenate([[0], np.cumsum(sizes + _PAD)[:-1]]).astype(np.int64) if texts else sizes
+        return cls(ids, texts, starts, ends, least, keys, first, count, np.concatenate(ps)[order] if hs else none, np.concatenate(at)[order] if hs else none, present, codes, offsets, sizes)
 
     def candidates(self, data: str, starts: np.ndarray) -> list[tuple[int, int, int]]:
         """(passage, place in it, place in data) of one hit of each run of hits on a diagonal, in all regions that meet
@@ -146,22 +154,20 @@ class Passages:
         total = int(n.sum())
         if not total:
             return []
-        flat = np.repeat(self.first[k] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(total)
-        passage, place = self.passage[flat], self.place[flat].astype(np.int64)
-        where = np.repeat(some.astype(np.int64) * STEP, n)
-        least = np.asarray(self.least)
-        needed = np.maximum(1, (least - EDITS - Q + 1) // STEP - EDITS * -(-Q // STEP))
+        past = np.cumsum(n)
+        flat = np.repeat((self.first[k] - past + n).astype(np.int32), n) + np.arange(total, dtype=np.int32)
+        passage = self.passage[flat]
+        least = np.asarray(self.least, dtype=np.int32)
+        needed = np.maximum(1, (least - EDITS - Q + 1) // STEP - EDITS * -(-Q // STEP)).astype(np.int32)
         # a document that shares fewer q-grams with a passage in all has no band that meets the bound
-        pair = (np.searchsorted(starts, where, "right") - 1) * len(self.ids) + passage
-        order = np.argsort(pair, kind="stable")
-        _, at, n = np.unique(pair[order], return_index=True, return_counts=True)
-        enough = order[np.repeat(n >= needed[passage[order][at]], n)]
-        passage, place, where = passage[enough], place[enough], where[enough]
-        inside = np.zeros(len(place), bool)
+        document = np.searchsorted(starts, some * STEP, "right").astype(np.int32)
+        pair = np.repeat((document - 1) * len(self.ids), n) + passage
+        enough = np.flatnonzero((np.bincount(pair, minlength=len(starts) * len(self.ids)).reshape(len(starts), -1) >= needed).reshape(-1)[pair])
+        passage, place = passage[enough], self.place[flat[enough]].astype(np.int64)
+        where = some[np.searchsorted(past, enough, "right")].astype(np.int64) * STEP
+        found = []
         for shift in (0, BAND // 2):
-            band = (where - place + shift) // BAND
-            order = np.lexsort((place, band, passage))
-            p, b, x = passage[order], band[order], place[order]
+            p, b, x, w = _in_bands(passage, place, where, shift)
             last = np.arange(len(p)) + needed[p] - 1
             ok = last < len(p)
             i, j = np.flatnonzero(ok), last[ok]
@@ -169,8 +175,9 @@ class Passages:
             change = np.zeros(len(p) + 1, np.int64)
             np.add.at(change, i[good], 1)
             np.add.at(change, j[good] + 1, -1)
-            inside[order[np.cumsum(change[:-1]) > 0]] = True
-        passage, place, where = passage[inside], place[inside], where[inside]
+            inside = np.cumsum(change[:-1]) > 0
+            found.append((p[inside], x[inside], w[inside]))
+        passage, place, where = (np.concatenate(v) for v in zip(*found, strict=True))
         if not len(place):
             return []
         # q-grams on one diagonal that touch are one run of equal letters: one of them is enough to align from
@@ -180,12 +187,19 @@ class Passages:
         fresh = np.concatenate([[True], (p[1:] != p[:-1]) | (g[1:] != g[:-1]) | (x[1:] - x[:-1] > Q)])
         return list(zip(p[fresh].tolist(), x[fresh].tolist(), w[fresh].tolist(), strict=True))
 
-    def stretch(self, k: int, x: int, data: str, y: int, words: int = WORDS) -> tuple[int, int] | None:
-        """First and last word of the longest part of passage k through the hit at x that stands in data, at y, with at
-        most EDITS edits; None for fewer than ``words`` words. Words at its ends are at least half right."""
-        a, starts, ends = self.texts[k], self.starts[k], self.ends[k]
-        right = [x + Q + r for r in reach(a[x + Q :], data[y + Q : y + Q + len(a) - x + EDITS])]
-        left = [x - r for r in reach(a[:x][::-1], data[max(0, y - x - EDITS) : y][::-1])]
+    def stretches(self, hits: list[tuple[int, int, int]], data: np.ndarray, begins: np.ndarray, ends: np.ndarray, words: int = WORDS) -> list[tuple[int, int] | None]:
+        """For each hit (passage, place in it, place in data): first and last word of the longest part of the passage
+        through the hit that stands in data with at most EDITS edits; None for fewer than ``words`` words. Words at its
+        ends are at least half right. begins, ends: of each hit's document in data."""
+        p, x, y = np.array(hits, dtype=np.int64).reshape(-1, 3).T
+        at = self.offsets[p]
+        right = x + Q + reaches(self.codes, at + x + Q, self.sizes[p] - x - Q, data, y + Q, ends - y - Q, 1)
+        left = x - reaches(self.codes, at + x - 1, x, data, y - 1, y - begins, -1)
+        enough = (right[::-1] - left).max(axis=0, initial=0) >= np.asarray(self.least, dtype=np.int64)[p]
+        return [self._words(int(k), int(v), lo, hi, words) if ok else None for k, v, lo, hi, ok in zip(p, x, left.T.tolist(), right.T.tolist(), enough, strict=True)]
+
+    def _words(self, k: int, x: int, left: list[int], right: list[int], words: int) -> tuple[int, int] | None:
+        starts, ends = self.starts[k], self.ends[k]
         best = None
         for e in range(EDITS + 1):
             i, j = self._first(left, e, starts, ends, x), self._last(right, EDITS - e, starts, ends, x + Q)
@@ -217,48 +231,71 @@ class Passages:
         return i
 
 
-def _run(a: str, i: int, b: str, j: int) -> int:
-    """Length of the common run of a from i and b from j."""
-    n, most = 0, min(len(a) - i, len(b) - j)
-    if most <= 0 or a[i] != b[j]:
-        return 0
-    size = 16
-    while n < most:
-        size = min(size, most - n)
-        if a[i + n : i + n + size] == b[j + n : j + n + size]:
-            n += size
-            size *= 4
-        elif size == 1:
-            break
-        else:
-            size = max(1, size // 4)
-    return n
+def _in_bands(passage: np.ndarray, place: np.ndarray, where: np.ndarray, shift: int) -> tuple[np.ndarray, ...]:
+    """Hits in order of passage, band of diagonals and place: (passage, band, place, where)."""
+    diagonal = where - place + shift
+    low = int(diagonal.min(initial=0)) // BAND
+    band, off = np.divmod(diagonal - low * BAND, BAND)
+    bands, places = int(band.max(initial=0)) + 1, int(place.max(initial=0)) + 1
+    if (int(passage.max(initial=0)) + 1) * bands * places * BAND >= 1 << 62:  # too large for one number
+        order = np.lexsort((place, band, passage))
+        return passage[order], band[order], place[order], where[order]
+    packed = np.sort(((passage.astype(np.int64) * bands + band) * places + place) * BAND + off)
+    packed, off = np.divmod(packed, BAND)
+    packed, x = np.divmod(packed, places)
+    p, b = np.divmod(packed, bands)
+    return p, b, x, (b + low) * BAND + off - shift + x
+
+
+def _run(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, step: int) -> np.ndarray:
+    """Lengths of the common runs of a from i and b from j; step -1: backwards. Both hold characters that the other
+    hasn't where no run goes on."""
+    out = np.zeros(len(i), np.int64)
+    open_ = np.arange(len(i))
+    ahead = np.arange(_LOOK) * step
+    while len(open_):
+        same = a[(i[open_] + step * out[open_])[:, None] + ahead] == b[(j[open_] + step * out[open_])[:, None] + ahead]
+        n = np.where(same.all(axis=1), _LOOK, same.argmin(axis=1))
+        out[open_] += n
+        open_ = open_[n == _LOOK]
+    return out
 
 
-def reach(a: str, b: str, edits: int = EDITS) -> list[int]:
-    """For 0, 1, ... edits: how many letters of a can be aligned with a beginning of b.
+def reaches(a: np.ndarray, i: np.ndarray, n: np.ndarray, b: np.ndarray, j: np.ndarray, m: np.ndarray, step: int = 1, edits: int = EDITS) -> np.ndarray:
+    """For 0, 1, ... edits (rows) and each pair of places i in a and j in b: how many letters of a from i on, n at most,
+    can be aligned with b from j on, m letters at most; step -1: backwards.
 
     The band of 2 * edits + 1 diagonals, of each of which only the furthest-reaching cell for a number of edits is kept:
     what the whole matrix would give."""
-    n, m = len(a), len(b)
-    run = _run(a, 0, b, 0)
-    at, out = {0: run}, [run]
-    for _ in range(edits):
-        if out[-1] >= n:
-            out.append(n)
-            continue
-        new = {}
-        for d in range(min(at) - 1, max(at) + 2):
+    none = -edits - 9
+    d = np.arange(-edits, edits + 1)
+    most = np.minimum(n[:, None], m[:, None] - d)
+    at = np.full((len(i), 2 * edits + 3), none, np.int64)  # a column of none at either side
+    out = np.zeros((edits + 1, len(i)), np.int64)
+    new = np.full((len(i), 2 * edits + 1), none, np.int64)
+    new[:, edits] = 0
+    for e in range(edits + 1):
+        if e:
             # a letter of a misread; one of b too many; one of a missing
-            i = max(at.get(d, -2) + 1, at.get(d - 1, -1), at.get(d + 1, -2) + 1)
-            i = min(i, n, m - d)
-            if i >= 0 and i + d >= 0:
-                new[d] = i + _run(a, i, b, i + d)
-        at = new
-        out.append(max(out[-1], max(at.values(), default=0)))
+            new = np.minimum(np.maximum(np.maximum(at[:, 1:-1] + 1, at[:, :-2]), at[:, 2:] + 1), most)
+        r, c = np.nonzero((new >= 0) & (new + d >= 0) & (new < most))
+        v = new[r, c]
+        new[r, c] = np.minimum(v + _run(a, i[r] + step * v, b, j[r] + step * (v + d[c]), step), most[r, c])
+        new[(new < 0) | (new + d < 0)] = none
+        at[:, 1:-1] = new
+        out[e] = np.maximum(out[e - 1] if e else 0, new.max(axis=1, initial=0))
     return out
 
 
+def _joined(data: list[str]) -> tuple[str, np.ndarray]:
+    """The documents one after the other, and where each begins: at a multiple of STEP, after a gap that no q-gram of a
+    passage spans."""
+    sizes = np.array([len(x) for x in data], dtype=np.int64)
+    room = sizes + _PAD + -(sizes + _PAD) % STEP
+    begins = _PAD + np.concatenate([[0], np.cumsum(room)[:-1]])
+    return "\0" * _PAD + "".join(x + "\0" * int(r - len(x)) for x, r in zip(data, room, strict=True)), begins
+
+
 def _longest(parts: list[tuple[int, int]]) -> tuple[int, int]:
     """The longest of the parts, those that overlap taken together."""
     merged: list[list[int]] = []
@@ -298,13 +335,15 @@ def find_leaks(df: DataFrame, id_col: str, text_col: str, passages: DataFrame, i
                     return []
                 keys, texts = cols
                 data = [letters(t) if t else "" for t in texts]
-                # each document begins at a multiple of STEP, after a gap that no q-gram of a passage spans
-                joined = "".join([x + "\0" * (Q + -(len(x) + Q) % STEP) for x in data])
-                starts = np.cumsum([0, *[len(x) + Q + -(len(x) + Q) % STEP for x in data[:-1]]])
+                joined, begins = _joined(data)
+                hits = index.candidates(joined, begins)
+                if not hits:
+                    return []
+                document = np.searchsorted(begins, [y for _, _, y in hits], "right") - 1
+                past = begins + np.array([len(x) for x in data])
+                parts_of = index.stretches(hits, _codes(joined), begins[document], past[document], words)
                 found: dict[tuple[int, int], list[tuple]] = {}
-                for p, x, y in index.candidates(joined, starts):
-                    d = int(np.searchsorted(starts, y, "right")) - 1
-                    part = index.stretch(p, x, data[d], y - int(starts[d]), words)
+                for (p, _, _), d, part in zip(hits, document.tolist(), parts_of, strict=True):
                     if part:
                         found.setdefault((d, p), []).append(part)
                 out = []

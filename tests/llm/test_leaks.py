@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from inkspan.llm import leaks
 
 WORDS = [f"{a}{b}{c}" for a in ("ba", "co", "du", "fi", "gre", "hol") for b in ("nt", "rd", "mp", "ss", "vel") for c in ("er", "ing", "ed", "al", "ow", "um")]
@@ -70,19 +72,13 @@ def test_blocks_give_the_same(spark, monkeypatch):
 def found(docs, items):
     """(doc, item) by the index alone, the documents joined as a batch."""
     index = leaks.Passages.build(items)
-    out = set()
     data = [leaks.letters(t) for t in docs]
-    pad = [x + "\0" * (leaks.Q + -(len(x) + leaks.Q) % leaks.STEP) for x in data]
-    at = [0]
-    for x in pad[:-1]:
-        at.append(at[-1] + len(x))
-    import numpy as np
-
-    for p, x, y in index.candidates("".join(pad), np.array(at)):
-        d = int(np.searchsorted(at, y, "right")) - 1
-        if index.stretch(p, x, data[d], y - at[d]):
-            out.add((d, index.ids[p]))
-    return out
+    joined, begins = leaks._joined(data)
+    hits = index.candidates(joined, begins)
+    of = np.searchsorted(begins, [y for _, _, y in hits], "right") - 1
+    ends = begins + np.array([len(x) for x in data])
+    parts = index.stretches(hits, leaks._codes(joined), begins[of], ends[of])
+    return {(int(d), index.ids[p]) for (p, _, _), d, part in zip(hits, of, parts, strict=True) if part}
 
 
 def spoilt(text, rng, edits):
@@ -134,8 +130,11 @@ def test_reach_equals_the_whole_matrix():
                 new.append(min(row[j - 1] + (x != y), row[j] + 1, new[j - 1] + 1))
             row = new
             least.append(min(row))
-        for e, r in enumerate(leaks.reach(a, b, 4)):
-            assert r == max(i for i, v in enumerate(least) if v <= e)
+        for step in (1, -1):
+            x, y = np.array([ord(c) for c in "\1" * 20 + a[::step] + "\1" * 20]), np.array([ord(c) for c in "\0" * 20 + b[::step] + "\0" * 20])
+            i, j = (20, 20) if step == 1 else (19 + len(a), 19 + len(b))
+            got = leaks.reaches(x, np.array([i]), np.array([len(a)]), y, np.array([j]), np.array([len(b)]), step, 4)
+            assert got[:, 0].tolist() == [max(k for k, v in enumerate(least) if v <= e) for e in range(5)]
 
 
 def test_other_scripts():
