@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspan.llm import leaks, ocr, packing, pairs, quality, repeats, split, tokens, truncated
 from inkspan.session import table
+from inkspan.sources.files import discover
+from inkspan.streaming.ingest import shared_folder
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -48,6 +50,33 @@ def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split_texts(table(spark, d, "issues", spread=True), "seq", "raw_text").withColumnRenamed("item", "seq")
 
 
+#: Bytes of a range of the files of p4_files: small, so that every file has many ranges.
+P4_RANGE = 1 << 16
+
+
+def _p4_tables(spark: SparkSession, d: str) -> DataFrame:
+    """The issues' texts written as files of many texts each, page breaks between them, and the tables of their ranges."""
+    folder = f"{shared_folder(spark)}/texts"
+    texts = table(spark, d, "issues").where("raw_text is not null").select("raw_text")
+    texts.write.option("lineSep", f"\n\n{split.MARKER}\n\n").text(folder)
+    paths = sorted(r.path for r in discover(spark, folder, r"^part-").select("path").collect())
+    return split.file_tables(spark, paths, P4_RANGE)
+
+
+def _file_no() -> Column:
+    return F.regexp_extract("item", r"part-(\d+)", 1).cast("int").alias("file")
+
+
+def p4_files(spark: SparkSession, d: str) -> DataFrame:
+    """The pieces of all files, read by ranges of bytes."""
+    return split.file_pieces(_p4_tables(spark, d)).select(_file_no(), "piece_no", "start", "end", "boundary", "piece")
+
+
+def p4_file_levels(spark: SparkSession, d: str) -> DataFrame:
+    """The best boundary that suffices for each file, stitched from the tables of its ranges."""
+    return split.file_levels(_p4_tables(spark, d)).select(_file_no(), "chars", "boundary")
+
+
 P5 = ("seq", "raw_text", "newspaper", "record_id")
 
 
@@ -130,5 +159,22 @@ def p9_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p6_budget": p6_budget, "p6_tokens": p6_tokens, "p7_assignment": p7_assignment, "p7_bins": p7_bins, "p2_found": p2_found, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_share": p9_share, "p4_found": p4_found, "p4_pieces": p4_pieces, "p1_found": p1_found, "p1_statistics": p1_statistics, "p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_sequences": p5_sequences, "p5_cleaned": p5_cleaned}
-SQL: dict[str, str] = {}
+    f.__name__: f for f in (
+        p1_found, p1_statistics, p2_found, p3_found, p3_repaired, p4_found, p4_pieces, p4_files, p4_file_levels, p5_found, p5_sequences, p5_cleaned,
+        p6_budget, p6_tokens, p7_assignment, p7_bins, p8_found, p8_items, p9_found, p9_share,
+    )
+}
+
+_BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_SPACE = _BLANK.replace(r"\s", r" \t\r\f")
+
+
+def _longest(pattern: str) -> str:
+    """The longest part of raw_text between matches of the pattern, white space around it not counted."""
+    return f"list_max(list_transform(string_split_regex(raw_text, '{pattern}'), lambda x: length(regexp_replace(x, '^{_BLANK}+|{_BLANK}+\\z', '', 'g'))))"
+
+
+_AT = {"page": rf"(?m)^{_SPACE}*--- PAGE BREAK ---{_SPACE}*$", "paragraph": rf"\n(?:{_SPACE}*\n)+", "line": r"\n", "word": rf"{_BLANK}+"}
+SQL: dict[str, str] = {
+    "p4_found": "select seq, case " + " ".join(f"when {_longest(p)} <= 4000 then '{k}'" for k, p in _AT.items()) + " else 'none' end as boundary from issues where length(raw_text) > 4000",
+}
