@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
+from pyspark.sql import SparkSession
 
 BITS = 16
 MASK = (1 << BITS) - 1
@@ -38,22 +39,68 @@ def _packed(buckets):
     return flat, np.concatenate([[0], np.cumsum(counts)[:-1]]), counts
 
 
-def train(buckets: list[list[int]], y: np.ndarray, labels, importance: np.ndarray | None = None, l2: float = 1e-4, rounds: int = 120, rate: float = 0.15, least: int = 8) -> Linear:
-    """Logistic regression by full-batch Adam, deterministic. y: rows by labels, 0 or 1.
-
-    Features of fewer than ``least`` rows get no weight: they could only recall single rows."""
-    flat, starts, counts = _packed(buckets)
-    n = len(buckets)
-    weight = np.ones(n) if importance is None else importance
-    weight = weight / weight.sum()
-    seen = np.bincount(flat, minlength=MASK + 1) >= least
-    out = []
-    for k in range(y.shape[1]):
-        w, m, v = np.zeros(MASK + 1), np.zeros(MASK + 1), np.zeros(MASK + 1)
+@dataclass
+class Rows:
+    """Training rows, as flat lists of buckets with the rows they belong to."""
+
+    flat: np.ndarray
+    row: np.ndarray
+    n: int
+
+    @classmethod
+    def of(cls, buckets: list[list[int]]) -> Rows:
+        flat, _, counts = _packed(buckets)
+        return cls(flat.astype(np.int32), np.repeat(np.arange(len(buckets), dtype=np.int32), counts), len(buckets))
+
+    def margins(self, first: np.ndarray, second: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Log odds of each row by the first or the second weights, as ``which`` says."""
+        return np.where(which == 0, *(np.bincount(self.row, w[self.flat], self.n) for w in (first, second)))
+
+    def fit(self, y: np.ndarray, weight: np.ndarray, l2: float, rounds: int, rate: float, least: int) -> np.ndarray:
+        """Weights of one label by logistic regression: full-batch Adam, deterministic. y: 0 or 1; rows of weight 0
+        don't count. Features of fewer than ``least`` rows get no weight: they could only recall single rows."""
+        used = weight[self.row] > 0
+        flat, row = self.flat[used], self.row[used]
+        active = np.flatnonzero(np.bincount(flat, minlength=MASK + 1) >= least)
+        column = np.full(MASK + 1, -1, np.int32)
+        column[active] = np.arange(len(active))
+        kept = column[flat] >= 0
+        flat, row = column[flat[kept]], row[kept]
+        weight = weight / max(weight.sum(), 1e-12)
+        w, m, v = np.zeros(len(active)), np.zeros(len(active)), np.zeros(len(active))
         for t in range(1, rounds + 1):
-            p = 1 / (1 + np.exp(-np.clip(np.add.reduceat(w[flat], starts), -30, 30)))
-            g = np.bincount(flat, np.repeat((p - y[:, k]) * weight, counts), MASK + 1) * seen + l2 * w
+            p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[flat], self.n), -30, 30)))
+            g = np.bincount(flat, ((p - y) * weight)[row], len(active)) + l2 * w
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        out.append(w.astype(np.float32))
-    return Linear(tuple(labels), np.stack(out), np.zeros(len(out)))
+        out = np.zeros(MASK + 1, np.float32)
+        out[active] = w
+        return out
+
+
+def train(buckets: list[list[int]], y: np.ndarray, labels, importance: np.ndarray | None = None, l2: float = 1e-4, rounds: int = 120, rate: float = 0.15, least: int = 8) -> Linear:
+    """One classifier for each label. y: rows by labels, 0 or 1."""
+    rows = Rows.of(buckets)
+    weight = np.ones(len(buckets)) if importance is None else importance
+    return Linear(tuple(labels), np.stack([rows.fit(y[:, k], weight, l2, rounds, rate, least) for k in range(y.shape[1])]), np.zeros(y.shape[1]))
+
+
+def train_each(spark: SparkSession, rows: Rows, jobs: list[tuple[np.ndarray, np.ndarray]], **options) -> np.ndarray:
+    """Weights of several fits on the same rows, a task for each (y, weight); the rows, bounded by the sample, are
+    broadcast."""
+    from inkspan.llm.arrow import map_partitions
+
+    shared = spark.sparkContext.broadcast((rows, jobs, options))
+
+    def make():
+        def go(cols):
+            if not cols:
+                return []
+            rows, jobs, options = shared.value
+            return [(k, rows.fit(*jobs[k], **options).tobytes()) for k in cols[0]]
+
+        return go
+
+    found = map_partitions(spark.range(len(jobs), numPartitions=len(jobs)), ["id"], make, "id bigint, w binary").collect()
+    shared.unpersist()
+    return np.stack([np.frombuffer(r.w, np.float32) for r in sorted(found, key=lambda r: r.id)])
