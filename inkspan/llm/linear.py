@@ -52,6 +52,12 @@ class Rows:
         flat, _, counts = _packed(buckets)
         return cls(flat.astype(np.int32), np.repeat(np.arange(len(buckets), dtype=np.int32), counts), len(buckets))
 
+    @classmethod
+    def of_lists(cls, column) -> Rows:
+        """From an Arrow column of lists."""
+        lists = column.combine_chunks()
+        return cls(lists.flatten().to_numpy().astype(np.int32), np.repeat(np.arange(len(lists), dtype=np.int32), lists.value_lengths().to_numpy()), len(lists))
+
     def margins(self, first: np.ndarray, second: np.ndarray, which: np.ndarray) -> np.ndarray:
         """Log odds of each row by the first or the second weights, as ``which`` says."""
         return np.where(which == 0, *(np.bincount(self.row, w[self.flat], self.n) for w in (first, second)))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from inkspan.llm.arrow import kept_fields, map_partitions, struct
-from inkspan.llm.quality import PAGE_BREAK, is_entry, judge
+from inkspan.llm.quality import PAGE_BREAK, is_entry, verdict_of
 
 #: What a character or pair of characters is misread as. Probabilities are estimated from the corpus.
 CONFUSIONS = {
@@ -603,9 +603,8 @@ def repair_pages(df: DataFrame, id_col: str, text_col: str, newspaper_col: str,
                 if not text or not text.strip():
                     out.append((key, [], None if text is None else "", "empty"))
                     continue
-                prose, other = judge(text.split("\n"))
                 noise, repaired = decoder.text(text, name)
-                out.append((key, [{"line_no": k, "noise": x} for k, x in noise], repaired, "prose" if prose >= other and prose else "not_prose"))
+                out.append((key, [{"line_no": k, "noise": x} for k, x in noise], repaired, verdict_of(text)[2]))
             return out
 
         return go

@@ -6,25 +6,10 @@ import re
 from collections import Counter
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from inkspan.llm.arrow import map_partitions, map_rows
 
-from inkspan.llm.arrow import map_rows
-
-#: Function words of the languages of the archive; their share tells running prose from entries.
-FUNCTION_WORDS = frozenset(
-    # English
-    "the of and to in was at on by that it is for with as be had has have were are from but not his her he she they "
-    "which who all when an or this their would will been no so than said its into if there what we you my our us me "
-    # French
-    "le la les de des du un une et en dans que qui ne pas pour sur au aux par avec il elle est se ce cette son sa ses "
-    "nul sans ainsi mais ou où je vous nous qu "
-    # German
-    "der die das den dem des ein eine einen einem einer und in im am an auf zu mit von bei es ist sich nicht nach aus "
-    "man dass auch noch als wie sie er ich wir bis für so ihr "
-    # Spanish
-    "el los las una con por para se su al lo del como más pero no sin sobre ya hasta ha muy nadie "
-    # Italian, Portuguese, Dutch, Latin, for archives that hold them
-    "il gli di che non si da os um uma não em ao het een van op te niet dat met et ad cum est".split()
-)
 WORD = re.compile(r"[^\W\d_]+")
 LINE_END = re.compile(r"[.!?;:,…\"\u201d\u2019»)\]-]$")
 STOP = re.compile(r"[.!?]")
@@ -35,6 +20,8 @@ BULLET = re.compile(r"[-*•·◦▪–—|+>] ?\S|\(?\d{1,4}[.)\]:]\s|\(\w{1,3}
 CELLS = re.compile(r"\|.*\||\t.*\t|\S {3,}\S.*? {3,}\S|\.{4,}|_{4,}|(?:,[^\s,]+){2,}$")
 PAGE_BREAK = "--- PAGE BREAK ---"
 NGRAMS = (2, 3, 4)
+#: Share of all words from which on a word is a common one.
+COMMON = 1e-3
 
 SCHEMA = (
     "n_chars bigint, n_words bigint, n_lines bigint, n_paragraphs bigint, mean_word_length double, symbol_ratio double, "
@@ -44,10 +31,26 @@ SCHEMA = (
 )
 NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
 
-#: Thresholds of the rules: lines before and after that are looked at together, share of function words, least share
-#: of letters and least mean word length of prose, letters of an introduction at most.
-WINDOW, PROSE_SHARE, MIN_LETTERS, MIN_WORD, INTRODUCTION = 2, 0.12, 0.6, 2.9, 400
-_IS_FUNCTION = FUNCTION_WORDS.__contains__
+#: Lines before and after that are looked at together, letters of an introduction at most, words of a headline.
+WINDOW, INTRODUCTION, HEADLINE = 2, 400, 12
+#: Letters of a short word: in every script with spaces the words that hold sentences together are mostly that short.
+SHORT = 3
+#: The rule for a window of lines: what speaks for running prose, and what against it, each by so many points for the whole
+#: of its measure. Prose has more points than NEEDED. Names: share of short words in lower case (most near a third; its
+#: square counts against it), letters among characters, digits, mean word length in eighths, words of one letter, vowels
+#: among letters, lines that go on in lower case, words in a line in fifteenths, lines that end in a digit, commas and stops
+#: by word, lines that end in a stop.
+POINTS = {
+    "short": 43.0, "short_squared": -51.0, "letters": 12.0, "digits": -5.0, "length": -10.0, "single": -24.0, "vowels": 12.0,
+    "goes_on": 1.5, "full": 1.0, "ends_in_digit": -2.0, "commas": -17.0, "stops": 3.5, "closed": 1.0,
+}
+NEEDED = 12.5
+#: A text of whose letters one phrase of a few words takes more than this, occurring so often, isn't running prose, whatever
+#: its lines look like.
+PHRASE, OFTEN = 0.3, 5
+VOWELS = re.compile("[aeiouyà-åè-ïò-öø-üýÿāăąēęěīıőōųūůűаеёиоуыэюяіїєαεηιουωάέήίόύώ]", re.IGNORECASE)
+#: Scripts whose vowels aren't letters or aren't known here, and scripts without spaces between words.
+NO_VOWELS, NO_SPACES = re.compile(r"[\u0530-\u0dff\u0f00-\u10ff\u1200-\u1cff]"), re.compile(r"[\u0e00-\u0eff\u2e80-\ua4cf\uac00-\ud7af\uf900-\ufaff]")
 
 
 def is_entry(line: str) -> bool:
@@ -60,62 +63,85 @@ def is_entry(line: str) -> bool:
     return False
 
 
+def line_counts(x: str, before: str) -> tuple[int, ...]:
+    """What the rule counts in a line: characters, words, letters, short words, single letters, vowels, digits, commas,
+    stops, whether it goes on in lower case, ends in a digit, ends in a stop."""
+    y = x.strip()
+    words = WORD.findall(y)
+    n, letters = len(words), sum(map(len, words))
+    dense = len(y) - y.count(" ") - y.count("\t")
+    capitals = sum(map(str.isupper, words)) > 0.6 * n
+    short = sum(len(w) <= SHORT and (capitals or w == w.lower()) for w in words)
+    if NO_VOWELS.search(y):
+        vowels = 0.38 * letters
+    else:
+        vowels = len(VOWELS.findall(y))
+    if not y.isascii() and letters and len(wide := NO_SPACES.findall(y)) * 2 > letters:
+        # characters take the place of words
+        n, short, vowels = letters, 0.35 * letters, 0.38 * letters
+        letters = 5 * len(wide)
+        dense = letters + dense - len(wide)
+    goes_on = (y[:1].isalpha() and y[:1] == y[:1].lower() or capitals) and before[-1:] not in ".!?:;”\"»"
+    digits = dense - letters if y.isdigit() else sum(map(y.count, "0123456789"))
+    return dense, n, letters, short, sum(len(w) == 1 for w in words), vowels, digits, y.count(","), y.count(".") + y.count("!") + y.count("?"), goes_on, y[-1:].isdigit(), y[-1:] in ".!?"
+
+
+def points(counts: list[tuple[int, ...]]) -> float:
+    """The points of a window of lines."""
+    dense, n, letters, short, single, vowels, digits, commas, stops, goes_on, in_digit, closed = map(sum, zip(*counts, strict=True))
+    if not n or not letters:
+        return -99.0
+    lines, share = len(counts), short / n
+    p = POINTS
+    return (
+        p["short"] * share + p["short_squared"] * share * share + p["letters"] * letters / dense + p["digits"] * digits / dense + p["length"] * min(1.0, letters / n / 8) + p["single"] * single / n
+        + p["vowels"] * vowels / letters + p["goes_on"] * goes_on / lines + p["full"] * min(1.0, n / lines / 15) + p["ends_in_digit"] * in_digit / lines + p["commas"] * commas / n + p["stops"] * stops / n + p["closed"] * closed / lines
+    )
+
+
 def judge(lines: list[str]) -> tuple[int, int]:
     """Characters (without spaces) in prose, and in lists, tables or rubbish.
 
-    A line counts as prose when it and its neighbours of the same kind hold enough function words and consist of
-    words. Headlines and notices that stand alone count as neither, repeated lines count once, and one or two
-    sentences beside other matter count as an introduction.
+    A line counts as prose when it and its neighbours of the same kind have the points for it. Headlines and notices that
+    stand alone count as neither, repeated lines count once, and one or two sentences beside other matter count as an
+    introduction.
     """
     prose = other = stops = 0
     seen: set[str] = set()
-    run: list[tuple[str, int, int, int, int]] = []  # line, dense characters, words, function words, letters
+    run: list[tuple[str, tuple[int, ...]]] = []
     kind = False
 
     def close() -> None:
         nonlocal prose, other, stops
         n = len(run)
-        for k, (x, dense, words, functions, letters) in enumerate(run):
-            key = x.strip()
-            if key in seen:
+        for k, (x, counts) in enumerate(run):
+            if x in seen:
                 continue
-            seen.add(key)
+            seen.add(x)
+            dense, words = counts[0], counts[1]
             if kind and words < 8:
                 other += dense
                 continue
-            near = run if n <= WINDOW + 1 else run[max(0, k - WINDOW) : k + WINDOW + 1]
-            wn = fn = ln = dn = 0
-            if kind:
-                wn, fn, ln, dn = words, functions, letters, dense
-            else:
-                for _, d, w, f, le in near:
-                    dn += d
-                    wn += w
-                    fn += f
-                    ln += le
-            wordy = ln >= MIN_LETTERS * dn and ln >= MIN_WORD * wn
-            if wordy and wn and fn >= PROSE_SHARE * wn:
+            near = [counts] if kind else [c for _, c in run[max(0, k - WINDOW) : k + WINDOW + 1]]
+            if points(near) > NEEDED:
                 prose += dense
-                stops += len(STOP.findall(x))
-            elif n == 1 and wordy and words <= 12 or dense <= 6:
+                stops += counts[8]
+            elif n == 1 and words and counts[2] >= 0.6 * dense and words <= HEADLINE or dense <= 6:
                 pass  # a headline or notice that stands alone; a page number
             else:
                 other += dense
         run.clear()
 
-    for x in lines:
-        words = WORD.findall(x.lower())
-        if not words and not x.strip():
+    for line in lines:
+        x = line.strip()
+        if not x or x == PAGE_BREAK:
             close()
             continue
-        if x.strip() == PAGE_BREAK:
-            close()
-            continue
-        entry = is_entry(x)
+        entry = is_entry(line)
         if entry != kind:
             close()
             kind = entry
-        run.append((x, len(x) - x.count(" ") - x.count("\t"), len(words), sum(map(_IS_FUNCTION, words)), sum(map(len, words))))
+        run.append((x, line_counts(x, run[-1][0] if run else "")))
     close()
     if other > prose // 4 and stops <= 3 and prose < INTRODUCTION:
         prose = min(prose, other // 2)
@@ -126,7 +152,37 @@ def _share(a: float, b: float) -> float:
     return a / b if b else 0.0
 
 
-def statistics(text: str | None) -> tuple:
+def phrase_shares(words: list[str], letters: int, least: int = 2) -> list[float]:
+    """For each of NGRAMS, the share of a text's letters that its commonest phrase of so many words takes, if it occurs at
+    least so often."""
+    out = []
+    for k in NGRAMS:
+        grams = Counter(zip(*(words[m:] for m in range(k)), strict=False))
+        gram, n = max(grams.items(), key=lambda x: (x[1], x[0])) if grams else ((), 0)
+        out.append(min(1.0, _share(n * sum(map(len, gram)), letters)) if n >= least else 0.0)
+    return out
+
+
+def verdict_of(text: str | None) -> tuple[int, int, str]:
+    """Characters of prose, of other matter, and the verdict ``prose``, ``not_prose`` or ``empty``.
+
+    Rules: at least as much prose as other matter by the lines' layout and words (judge), and no phrase that takes most of
+    the text. In both, repeated lines count once."""
+    if not text or not text.strip():
+        return 0, 0, "empty"
+    lines = text.split("\n")
+    prose, other = judge(lines)
+    if prose < other or not prose:
+        return prose, other, "not_prose"
+    words = [w.lower() for x in dict.fromkeys(map(str.strip, lines)) for w in WORD.findall(x)]
+    letters = sum(map(len, words))
+    # a phrase that takes a share of the letters has a word that takes at least its part of that share
+    if max((n * len(w) for w, n in Counter(words).items()), default=0) >= PHRASE / max(NGRAMS) * letters and max(phrase_shares(words, letters, OFTEN)) >= PHRASE:
+        return prose, other, "not_prose"
+    return prose, other, "prose"
+
+
+def statistics(text: str | None, common: frozenset[str] = frozenset()) -> tuple:
     """The row of SCHEMA for one text. Null and blank texts have zeros and the verdict ``empty``."""
     t = text or ""
     if not t.strip():
@@ -143,28 +199,50 @@ def statistics(text: str | None) -> tuple:
     dup_lines = sum(v - 1 for v in counts.values())
     dup_chars = sum((v - 1) * len(k) for k, v in counts.items())
     dup_par = len(paragraphs) - len(set(paragraphs))
-    tops = []
-    for k in NGRAMS:
-        grams = Counter(zip(*(words[m:] for m in range(k)), strict=False))
-        if grams:
-            gram, v = max(grams.items(), key=lambda x: (x[1], x[0]))
-            tops.append(min(1.0, _share(v * sum(map(len, gram)), letters)) if v > 1 else 0.0)
-        else:
-            tops.append(0.0)
-    prose, other = judge(lines)
     return (
         len(t), len(words), len(full), len(paragraphs), _share(letters, len(words)), _share(dense - letters - digits, dense),
         _share(digits, dense), _share(sum(bool(LINE_END.search(x)) for x in stripped), len(full)),
-        _share(sum(map(_IS_FUNCTION, words)), len(words)), _share(sum(map(is_entry, full)), len(full)),
-        _share(dup_lines, len(full)), _share(dup_chars, sum(map(len, stripped))), _share(dup_par, len(paragraphs)), *tops,
-        prose, other, "prose" if prose >= other and prose else "not_prose",
+        _share(sum(map(common.__contains__, words)), len(words)), _share(sum(map(is_entry, full)), len(full)),
+        _share(dup_lines, len(full)), _share(dup_chars, sum(map(len, stripped))), _share(dup_par, len(paragraphs)),
+        *phrase_shares(words, letters), *verdict_of(t),
     )
 
 
-def document_statistics(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def common_words(df: DataFrame, text_col: str, share: float = COMMON) -> frozenset[str]:
+    """The words that make up more than a share of all words of the column: 1 / share of them at most."""
+
+    def make():
+        raw: Counter = Counter()
+
+        def go(cols):
+            if cols:
+                for t in cols[0]:
+                    if t:
+                        raw.update(w.lower() for w in WORD.findall(t))
+            if cols is None or len(raw) > 200_000:
+                out = list(raw.items())
+                raw.clear()
+                return out
+            return []
+
+        return go
+
+    words = map_partitions(df, [text_col], make, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    total = words.agg(F.sum("n").alias("total"))
+    return frozenset(r.word for r in words.crossJoin(F.broadcast(total)).where(F.col("n") > share * F.col("total")).select("word").collect())  # one row
+
+
+def document_statistics(df: DataFrame, id_col: str, text_col: str, common: frozenset[str] | None = None) -> DataFrame:
     """One row per input row: the id and the columns of SCHEMA.
 
-    Null and blank texts have zeros and the verdict ``empty``; repeated rows and repeated ids stay rows of their own;
-    other columns of the input, of whatever name, are not read. Narrow: no shuffle, each text is seen once, whole.
+    common: the words that count as common ones, else those of the column itself. Null and blank texts have zeros and the
+    verdict ``empty``; repeated rows and repeated ids stay rows of their own; other columns of the input, of whatever name,
+    are not read. Narrow but for the common words' counts: each text is seen once, whole.
     """
-    return map_rows(df, [id_col], [text_col], statistics, SCHEMA)
+    known = common_words(df, text_col) if common is None else common
+    return map_rows(df, [id_col], [text_col], lambda t: statistics(t, known), SCHEMA)
+
+
+def prose_verdicts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, prose_chars, other_chars, verdict) of every row, without the other statistics. No shuffle."""
+    return map_rows(df, [id_col], [text_col], verdict_of, "prose_chars bigint, other_chars bigint, verdict string")

@@ -13,7 +13,7 @@ from inkspan.streaming.ingest import shared_folder
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Issues whose text is mainly lists, tables or rubbish."""
-    return quality.document_statistics(table(spark, d, "issues", spread=True), "seq", "raw_text").where("verdict = 'not_prose'").select("seq")
+    return quality.prose_verdicts(table(spark, d, "issues", spread=True), "seq", "raw_text").where("verdict = 'not_prose'").select("seq")
 
 
 def p1_statistics(spark: SparkSession, d: str) -> DataFrame:
