@@ -1,7 +1,6 @@
 """Noise of scanned pages: broken words, misread characters, running headers, page numbers.
 
-Noisy-channel correction. A first pass counts the words of the whole corpus, a second the word pairs (in a table of
-fixed size). Where a word is rarer than misreadings of a more frequent word would make it, the frequent words it may
+Noisy-channel correction. A first pass counts the words of the whole corpus, a second the word pairs. Where a word is rarer than misreadings of a more frequent word would make it, the frequent words it may
 stand for become candidates; a Viterbi search over each line weighs the character confusions against the n-grams.
 """
 
@@ -33,7 +32,9 @@ MARKS, DOUBTFUL = ".,:?()\"“”„«»'‘’—–-[]/…", ";!"
 PARTS = re.compile(r"[-–—’'/]")
 ODD = re.compile(r"[^\w\s.,:;?!()\"“”„«»'‘’—–\-\[\]/…&$%€£#*•·>+@¡¿§]|_")
 NUMBER = re.compile(r"[$£]?[\d.,:]*\d[\d.,:]*(?:st|nd|rd|th|s|d|er|re|e|a|o|%)?")
-PAGE_NUMBER = re.compile(r"\W*(?:page|pag|pág|p|seite|s|página|no)?\W*(?:[\dlO]{1,4}|[ivxlc]{1,7})\W*", re.IGNORECASE)
+#: A page's number in digits, some of them misread, or as a Roman numeral, which no word is.
+ROMAN = r"(?=[ivxlc])c{0,3}(?:x[cl]|l?x{0,3})(?:i[xv]|v?i{0,3})"
+PAGE_NUMBER = re.compile(rf"\W*(?:page|pag|pág|p|seite|s|página|no)?\W*(?:(?-i:[\dlO]{{1,4}})|{ROMAN})\W*", re.IGNORECASE)
 NOT_NAME = re.compile(r"[\W\d_]+")
 HEADER_WORDS = frozenset("the page p pag no vol i ii iii iv v vi vii viii ix x xi xii xiii xiv xv xvi xvii xviii xix xx".split())
 #: Words after which a hyphen stands for the part that follows later, as in "two- and three-masted".
@@ -41,15 +42,17 @@ SUSPENDED = frozenset("and or to und oder et ou y o e".split())
 
 #: Share of all words above which a word is kept; at most 1 / MIN_SHARE words can be.
 MIN_SHARE, MIN_COUNT = 1e-6, 2
-BIGRAM_BITS, CHUNKS = 20, 32
-FLUSH = 200_000
+#: Share of all word pairs from which on a pair is kept; at most 1 / MIN_PAIR are.
+MIN_PAIR = 2e-7
+FLUSH, PAIR_FLUSH = 200_000, 1 << 21
 #: Misreadings may be SLACK + EXCESS times as many as expected before a word counts as a word of its own.
 SLACK, EXCESS = 4.0, 8.0
 PRIOR = 0.0013
 #: What a word that misreadings could explain is still given as a word of its own.
 DOUBT = 0.001
 LOG_DOUBT = math.log(DOUBT)
-#: Letters up to which a word is searched for two misreadings at once; no language has longer ones in numbers.
+#: Letters up to which all words that two misreadings may have made of a word are listed; longer ones, of which any language
+#: has few, are held against the lexicon's long words instead.
 LONGEST = 32
 LINE_SCHEMA = "line_no int,noise string"
 
@@ -110,7 +113,8 @@ class Lexicon:
     counts: np.ndarray
     rules: dict[tuple[str, str], float]
     rare: dict[str, int]
-    pairs: bytes = b""
+    pairs: np.ndarray | None = None  # of word numbers, in order, and their counts
+    pair_counts: np.ndarray | None = None
 
 
 def fit_lexicon(df: DataFrame, text_col: str) -> Lexicon:
@@ -170,17 +174,21 @@ def confusion_rates(count: dict[str, int]) -> dict[tuple[str, str], float]:
 
 
 def fit_pairs(df: DataFrame, text_col: str, lexicon: Lexicon) -> Lexicon:
-    """Adds the counts of adjacent words, hashed into a table of 2 ** BIGRAM_BITS cells, whatever the corpus."""
+    """Adds the exact counts of adjacent words, of those pairs that make up MIN_PAIR of all or more."""
     shared = df.sparkSession.sparkContext.broadcast(lexicon)
-    size, part = 1 << BIGRAM_BITS, (1 << BIGRAM_BITS) // CHUNKS
 
     def make():
         ids = _decoder(shared).ids
-        table = np.zeros(size, np.int64)
+        held: list[np.ndarray] = []
+
+        def flush():
+            keys, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.int64),) * 2
+            held.clear()
+            return list(zip(keys.tolist(), n.tolist(), strict=True))
 
         def go(cols):
             if cols is None:
-                return [(k, zlib.compress(table[k * part : (k + 1) * part].tobytes(), 1)) for k in range(CHUNKS)]
+                return flush()
             flat: list[str] = []
             for text in cols[0]:
                 if text:
@@ -188,31 +196,26 @@ def fit_pairs(df: DataFrame, text_col: str, lexicon: Lexicon) -> Lexicon:
                     flat.append("\n")
             if flat:
                 n = np.fromiter((ids.get(w, 0) or ids.get(w.strip(MARKS + DOUBTFUL), 0) for w in flat), np.int64, len(flat))
-                table[:] += np.bincount(_cell(n[:-1], n[1:]), minlength=size)
-                table[0] = 0
-            return []
+                held.append(_pair(n[:-1], n[1:])[(n[:-1] > 0) & (n[1:] > 0)])
+            return flush() if sum(map(len, held)) > PAIR_FLUSH else []
 
         return go
 
-    def add(pdf):
-        total = np.zeros(part, np.int64)
-        for x in pdf["cells"]:
-            total += np.frombuffer(zlib.decompress(x), np.int64)
-        import pandas as pd
-
-        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "cells": [zlib.compress(total.tobytes(), 1)]})
-
-    rows = map_partitions(df, [text_col], make, "chunk int, cells binary").withColumn("salt", F.spark_partition_id() % 16)
-    rows = rows.groupBy("chunk", "salt").applyInPandas(add, "chunk int, cells binary")
-    chunks = rows.groupBy("chunk").applyInPandas(add, "chunk int, cells binary").collect()
-    table = np.concatenate([np.frombuffer(zlib.decompress(r.cells), np.int64) for r in sorted(chunks, key=lambda r: r.chunk)]) if chunks else np.zeros(size, np.int64)
-    lexicon.pairs = zlib.compress(np.minimum(table, 2**31 - 1).astype(np.int32).tobytes(), 1)
+    counted = map_partitions(df, [text_col], make, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).persist()
+    try:
+        total = counted.agg(F.sum("n")).first()[0] or 0
+        kept = counted.where(F.col("n") >= max(1, int(MIN_PAIR * total))).toArrow()
+    finally:
+        counted.unpersist()
+    pairs, counts = kept.column("pair").to_numpy(), kept.column("n").to_numpy()
+    order = np.argsort(pairs)
+    lexicon.pairs, lexicon.pair_counts = pairs[order], np.minimum(counts[order], 2**31 - 1).astype(np.int32)
     shared.unpersist()
     return lexicon
 
 
-def _cell(a, b):
-    return np.where((a > 0) & (b > 0), (a * 1_000_003 + b * 7919) & ((1 << BIGRAM_BITS) - 1), 0) if isinstance(a, np.ndarray) else (a * 1_000_003 + b * 7919) & ((1 << BIGRAM_BITS) - 1)
+def _pair(a, b):
+    return a << 32 | b
 
 
 TRACE = None
@@ -240,7 +243,9 @@ class Decoder:
         self.by_first: dict[str, list] = {}
         for a, b, p in self.rules:
             self.by_first.setdefault(b[0], []).append((a, b, p))
-        self.cells = np.frombuffer(zlib.decompress(lexicon.pairs), np.int32) if lexicon.pairs else None
+        self.pairs, self.pair_counts = lexicon.pairs, lexicon.pair_counts
+        self.met: dict[int, int] = {}
+        self.long = [w for w in words if len(w) > LONGEST - 4]
         self.clean: set[str] = set()
         self.parts: dict[str, list | None] = {}
         self.tokens: dict[str, tuple] = {}
@@ -254,6 +259,32 @@ class Decoder:
                 if w.startswith(b, k):
                     yield w[:k] + a + w[k + len(b) :], p
 
+    def twice(self, w: str):
+        """What the word may have been before two misreadings, with their probability."""
+        if len(w) <= LONGEST:
+            for u, p in self.variants(w):
+                for v, q in self.variants(u):
+                    yield v, p * q
+            return
+        for v in self.long:
+            if abs(len(v) - len(w)) <= 2:
+                for p in self.between(v, 0, w, 0, 2):
+                    yield v, p
+
+    def between(self, v: str, i: int, w: str, k: int, left: int):
+        """The probabilities of so many misreadings that make w from place k on of v from place i on."""
+        while i < len(v) and k < len(w) and v[i] == w[k]:
+            i, k = i + 1, k + 1
+        if left == 0:
+            if i == len(v) and k == len(w):
+                yield 1.0
+            return
+        # what is misread begins with another character than what stands for it
+        for a, b, p in self.by_first.get(w[k : k + 1], ()):
+            if v.startswith(a, i) and w.startswith(b, k):
+                for q in self.between(v, i + len(a), w, k + len(b), left - 1):
+                    yield p * q
+
     def own(self, w: str) -> int:
         """How often a word stands in the corpus; 0 also for rare ones whose count makes no difference."""
         return self.count.get(w) or self.rare.get(w, 0)
@@ -267,11 +298,10 @@ class Decoder:
                 n = self.count.get(v, 0)
                 if n >= 3 and v.isalpha() and (odd or n > own and own <= SLACK + EXCESS * p * n and (len(w) > 2 or own * 50 < n)):
                     out[v] = max(out.get(v, -99.0), math.log(p))
-            if not out and (odd or own < MIN_COUNT + 1) and 4 < len(w) <= LONGEST:
-                for u, p in self.variants(w):
-                    for v, q in self.variants(u):
-                        if v != w and self.count.get(v, 0) >= 20 and v.isalpha():
-                            out[v] = max(out.get(v, -99.0), math.log(p * q))
+            if not out and (odd or own < MIN_COUNT + 1) and len(w) > 4:
+                for v, p in self.twice(w):
+                    if v != w and self.count.get(v, 0) >= 20 and v.isalpha():
+                        out[v] = max(out.get(v, -99.0), math.log(p))
         return out
 
     def candidates(self, w: str) -> list[tuple[str, float]] | None:
@@ -345,15 +375,25 @@ class Decoder:
     # -- lines ----------------------------------------------------------------------------------------------------
 
     def pair(self, a: str | None, b: str, doubtful: bool = False) -> float:
-        """Log probability of b after a: hashed pair counts, smoothed by single words. doubtful: one of the two is a
+        """Log probability of b after a: pair counts, smoothed by single words. doubtful: one of the two is a
         word that misreadings could explain; its own occurrence doesn't speak for it."""
         single = 0.5 / self.total if doubtful else (self.count.get(b, 0) + 0.5) / self.total
-        if a is None or self.cells is None:
+        if a is None or self.pairs is None:
             return math.log(single)
         i, j = self.ids.get(a, 0), self.ids.get(b, 0)
-        n = int(self.cells[_cell(i, j)]) if i and j else 0
+        n = self.together(_pair(i, j)) if i and j else 0
         return math.log((max(0, n - 2 * doubtful) + 5.0 * single) / (self.count.get(a, 0) + 5.0))
 
+    def together(self, pair: int) -> int:
+        """How often a pair of words stands in the corpus, 0 for a rare one."""
+        n = self.met.get(pair)
+        if n is None:
+            if len(self.met) > 400_000:
+                self.met.clear()
+            k = int(np.searchsorted(self.pairs, pair))
+            n = self.met[pair] = int(self.pair_counts[k]) if k < len(self.pairs) and self.pairs[k] == pair else 0
+        return n
+
     def viterbi(self, words: list) -> list[str]:
         """words: str, or a list of (reading, log probability of the channel). The likeliest reading of each."""
         states: list[tuple[float, tuple]] = [(0.0, ())]
@@ -410,11 +450,13 @@ class Decoder:
         clean = self.clean
         tokens = [x.split() for x in lines]
         joined: dict[int, int] = {}  # line that ends inside a word -> line in which the word goes on
-        for k, toks in enumerate(tokens):
-            if kind[k] == "text" and toks and len(toks[-1]) > 1 and toks[-1][-1] in HYPHENS:
-                nxt = next((m for m in range(k + 1, min(len(lines), k + 12)) if kind[m] == "text"), None)
-                if nxt is not None and self.broken(toks[-1], tokens[nxt][0]):
+        nxt = None
+        for k in range(len(lines) - 1, -1, -1):
+            if kind[k] == "text":
+                toks = tokens[k]
+                if nxt is not None and len(toks[-1]) > 1 and toks[-1][-1] in HYPHENS and self.broken(toks[-1], tokens[nxt][0]):
                     joined[k] = nxt
+                nxt = k
         targets = set(joined.values())
         paragraphs: list[list[str]] = [[]]
         carried: dict[int, bool] = {}

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from inkspan.llm.quality import PAGE_BREAK
 from inkspan.session import cut_lineage
 
-#: A line that is only a page number, in lower case.
-PAGE_ONLY = r"^[^\p{L}]*(?:(?:page|pag|pág|p|seite|página|no)[^\p{L}]*)?(?:[ivxlc]+[^\p{L}]*)?$"
-#: Wordings are candidates from this part of the support on, as misread copies are counted only then.
-CANDIDATE_SHARE = 0.5
+#: A line that is only a page number, in lower case: digits, or a Roman numeral, which no word is.
+PAGE_ONLY = r"^[^\p{L}]*(?:(?:page|pag|pág|p|seite|página|no)[^\p{L}]*)?(?:(?=[ivxlc])c{0,3}(?:x[cl]|l?x{0,3})(?:i[xv]|v?i{0,3})[^\p{L}]*)?$"
+#: Wordings are candidates from this part of the support on, as misread copies are counted only then. Of a line of n letters,
+#: (1 - r) ** n of the copies are exact at a rate r of misread letters: 0.13 of those of 200 letters at 0.01.
+CANDIDATE_SHARE = 0.125
 #: Letters of a segment by which copies of a wording are looked up; rows of a table small enough to be broadcast.
 SEGMENT, SHORT_SEGMENT, BROADCAST_ROWS = 6, 4, 200_000
 
@@ -45,25 +46,28 @@ def _tolerance(n: Column) -> Column:
 
 
 def _segments(key: Column, either: bool) -> Column:
-    """Hashes of segments, one of which is whole in every copy that differs by few edits: the first and the last
-    letters, and those of the middle, which in a copy (``either``) may be shifted."""
+    """Hashes of segments, one of which is whole in every copy that differs by few edits, as there is one more of them than
+    edits: the first and the last letters, and one or two in the middle, which in a copy (``either``) may be shifted."""
     n = F.length(key)
     long, short = F.lit(SEGMENT), F.lit(SHORT_SEGMENT)
 
     def tag(kind: int, x: Column) -> Column:
         return F.xxhash64(F.col("source"), F.lit(kind), x)
 
-    shifts = range(-3, 4) if either else (0,)
-    middle = [tag(2, F.substring(key, F.greatest(F.lit(1), F.floor(n / 2).cast("int") - 2 + s), long)) for s in shifts]
+    def middle(kind: int, at: int) -> list[Column]:
+        shifts = range(-3, 4) if either else (0,)
+        return [tag(kind, F.substring(key, F.greatest(F.lit(1), F.floor(n / 2).cast("int") + at + s), long)) for s in shifts]
+
     # copies of different length fall on both sides of a bound: near it, they have both kinds
     ends_short = [tag(3, F.substring(key, F.lit(1), short)), tag(4, F.substring(key, n - SHORT_SEGMENT + 1, short))]
-    ends_long = [tag(0, F.substring(key, F.lit(1), long)), tag(1, F.substring(key, n - SEGMENT + 1, long)), *middle]
+    ends = [tag(0, F.substring(key, F.lit(1), long)), tag(1, F.substring(key, n - SEGMENT + 1, long))]
+    one, two = middle(2, -2), [*middle(6, -SEGMENT), *middle(7, 1)]
     exact = F.array(tag(5, key))
     if not either:
-        return F.when(n < 8, exact).when(n < 18, F.array(*ends_short)).otherwise(F.array(*ends_long))
+        return F.when(n < 8, exact).when(n < 18, F.array(*ends_short)).when(n < 30, F.array(*ends, *one)).otherwise(F.array(*ends, *two))
     return (
         F.when(n < 7, exact).when(n < 9, F.array(tag(5, key), *ends_short)).when(n < 15, F.array(*ends_short))
-        .when(n < 21, F.array(*ends_short, *ends_long)).otherwise(F.array(*ends_long))
+        .when(n < 21, F.array(*ends_short, *ends, *one)).when(n < 27, F.array(*ends, *one)).when(n < 33, F.array(*ends, *one, *two)).otherwise(F.array(*ends, *two))
     )
 
 
@@ -78,9 +82,9 @@ def frequent_wordings(df: DataFrame, id_col: str, text_col: str, source_col: str
     lines = lines_of(docs)
     least = F.greatest(F.lit(min_records), F.ceil(F.col("records") * min_share))
     records = docs.groupBy("source").agg(F.countDistinct("record").alias("records"))
-    counted = lines.groupBy("source", "key").agg(F.count("*").alias("n")).where(F.col("n") >= max(2, int(min_records * CANDIDATE_SHARE)))
+    counted = lines.groupBy("source", "key").agg(F.count("*").alias("n")).where(F.col("n") >= 2)
     hot = cut_lineage(
-        counted.join(records, "source").where(F.col("n") >= F.ceil(least * CANDIDATE_SHARE))
+        counted.join(records, "source").where(F.col("n") >= F.greatest(F.lit(2), F.ceil(least * CANDIDATE_SHARE)))
         .select("source", F.xxhash64("source", "key").alias("wording"), "key", "n", "records")
     )
     small = hot.count() <= BROADCAST_ROWS

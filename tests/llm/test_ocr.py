@@ -80,3 +80,62 @@ def test_rare_words_keep_their_counts(spark, monkeypatch):
     got = {r.seq: r for r in ocr.repair_pages(df, "seq", "raw_text", "newspaper", lexicon).collect()}
     assert all(got[1000 + k].noise == [] and "holton" in got[1000 + k].repaired for k in range(20))
     assert [(n.line_no, n.noise) for n in got[2000].noise] == [(1, "misread")] and "halton" in got[2000].repaired
+
+
+def lexicon(words, **more):
+    import zlib
+
+    import numpy as np
+
+    order = sorted(words, key=lambda w: (-words[w], w))
+    return ocr.Lexicon(sum(words.values()), zlib.compress("\n".join(order).encode()), np.array([words[w] for w in order]), {}, {}, **more)
+
+
+def test_numerals_are_no_words():
+    decoder = ocr.Decoder(lexicon({"civil": 50, "war": 50}))
+    noise, text = decoder.text("CIVIL\nxiv\n— 12 —\nIll.\nPage lO\nMild", None)
+    assert noise == [(2, "page_number"), (3, "page_number"), (5, "page_number")]
+    assert text == "CIVIL Ill. Mild"
+
+
+def test_two_misreadings_of_long_words():
+    """Beyond LONGEST letters the search over the lexicon gives what listing all words would."""
+    import random
+
+    rng = random.Random(2)
+    decoder = ocr.Decoder(lexicon({"w" * 40: 9}))
+    for _ in range(200):
+        v = "".join(rng.choice("abcdeilmnrw") for _ in range(rng.randint(5, 12)))
+        made = {w for u, _ in ((u, 1) for u in _misread(v, decoder)) for w in _misread(u, decoder)}
+        for w in rng.sample(sorted(made), min(4, len(made))):
+            listed = {x for u, _ in decoder.variants(w) for x, _ in decoder.variants(u)}
+            assert v in listed
+            if v != w:
+                assert list(decoder.between(v, 0, w, 0, 2)) or _overlapping(v, w, decoder)
+    word = "donaudampfschifffahrtsgesellschaftskapitaen"
+    decoder = ocr.Decoder(lexicon({word: 500}))
+    assert set(decoder.readings(word.replace("m", "rn", 1).replace("k", "k").replace("sch", "seh", 1), 0)) == {word}
+    assert not decoder.readings(word[:-3] + "xyz", 0)
+
+
+def _misread(v, decoder):
+    return [v[:k] + b + v[k + len(a) :] for a, b, _ in decoder.rules for k in range(len(v)) if v.startswith(a, k)]
+
+
+def _overlapping(v, w, decoder):
+    """Whether the second misreading changes what the first has made."""
+    return any(w in _misread(u, decoder) for u in _misread(v, decoder))
+
+
+def test_words_go_on_at_any_distance():
+    decoder = ocr.Decoder(lexicon({"northern": 50, "the": 90, "bridge": 90}))
+    noise, text = decoder.text("the north-\n" + "12\n" * 40 + "ern bridge", None)
+    assert (1, "hyphen") in noise and text == "the northern bridge"
+
+
+def test_pairs_are_counted_exactly(spark):
+    df = corpus(spark)
+    found = ocr.fit_pairs(df, "raw_text", ocr.fit_lexicon(df, "raw_text"))
+    decoder = ocr.Decoder(found)
+    assert decoder.together(ocr._pair(decoder.ids["northern"], decoder.ids["bridge"])) == 60
+    assert decoder.together(ocr._pair(decoder.ids["bridge"], decoder.ids["northern"])) == 0

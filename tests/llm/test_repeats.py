@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from inkspan.llm import repeats
@@ -52,3 +53,34 @@ def test_cleaned(spark):
 
 def test_empty(spark):
     assert repeats.repeated_lines(frame(spark).where("false"), "doc", "line_no", "source", "record").count() == 0
+
+
+def test_numerals_and_words(spark):
+    rows = [(k, f"{x}\nBody of number {'abcdefgh'[k] * 14}", "P", str(k)) for k in range(8) for x in [("CIVIL\nIll.\nxiv\nPage IV\n12\n— 7 —")]]
+    df = spark.createDataFrame(rows, "doc int, text string, source string, record string")
+    got = {r.line_no for r in repeats.repeated_lines(df, "doc", "text", "source", "record").collect()}
+    assert got == {1, 2}
+
+
+def test_copies_with_as_many_edits_as_allowed(spark):
+    """Lines of which most copies are misread, at the places that hit the segments, too."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows, want = [], set()
+    for no, n in enumerate((12, 17, 18, 25, 29, 30, 31, 40, 90)):
+        line = "".join(rng.choice(letters) for _ in range(n))
+        most = 1 if n < 18 else 2 if n < 30 else 3
+        for k in range(24):
+            x = list(line)
+            if k > 3:
+                for at in {0: rng.sample(range(n), most), 1: [0, n - 1, n // 2][:most], 2: [2, n // 2 - 3, n - 3][:most]}[k % 3]:
+                    x[at] = rng.choice([c for c in letters if c != x[at]])
+                if k % 4 == 0 and most > 1:
+                    x = list(line)
+                    x.insert(1, "q")
+                    x.pop(n // 2 + 2)
+            rows.append((no * 100 + k, "".join(x) + "\n" + "".join(rng.choice(letters) for _ in range(50)), f"s{no}", str(k)))
+            want.add((no * 100 + k, 1))
+    df = spark.createDataFrame(rows, "doc int, text string, source string, record string")
+    got = {(r.doc, r.line_no) for r in repeats.repeated_lines(df, "doc", "text", "source", "record").collect()}
+    assert want <= got
