@@ -14,33 +14,36 @@ from pyspark.sql import functions as F
 from inkspan.llm.arrow import map_partitions, struct
 from inkspan.llm.linear import Linear, hashed, train
 from inkspan.llm.quality import is_entry
+from inkspan.session import cut_lineage
 
 #: Rows on which the classifier is fitted, at most, and words kept for its features (share of all words).
 SAMPLE, MIN_SHARE = 12_000, 2e-6  # the sample is drawn by the ids' hashes
 #: Limits that artificial cuts are made at, the commonest ones.
 LIMITS = 1000
+#: Share of the complete texts that teach with a signature put behind them, too.
+SIGNED = 0.04
 #: Rows of the table of limits that may be broadcast.
 BROADCAST_ROWS = 200_000
 #: What is put at the place of an artificial cut, one of them each time.
 CUT_MARKS = ("", "", "", "", "", "", "…", "...", " …", " [...]", "…", "�")
 TERMINAL = re.compile(r"[.!?](?:[\"'”’»“)\]]*)$")
-MARK = re.compile(r"(?:…|\.\.\.|\[…\]|\[\.\.\.\]|�|\[more\]|\(more\))\s*$")
+#: What stands at a cut.
+MARKS = ("[…]", "[...]", "[more]", "(more)", "…", "...", "�")
 WORD = re.compile(r"[^\W_]+")
-TAIL = 300
 
 
 def source_limits(df: DataFrame, text_col: str, source_col: str) -> DataFrame:
-    """(source, max_chars, at_chars, max_bytes, at_bytes): the longest texts of a source, and how many different ones
-    are as long. Many texts of just the largest length mean a limit."""
+    """(source, max_chars, at_chars, max_bytes, at_bytes, rows): the longest texts of a source, how many different ones
+    are as long, and how many texts there are. Many texts of just the largest length mean a limit."""
     text = F.col(f"`{text_col}`")
     sizes = df.where(text.isNotNull()).select(F.coalesce(F.col(f"`{source_col}`"), F.lit("")).alias("source"), F.length(text).alias("chars"), F.octet_length(text).alias("bytes"), F.xxhash64(text).alias("h"))
-    by_size = sizes.groupBy("source", "chars", "bytes").agg(F.approx_count_distinct("h").alias("n"))
+    by_size = sizes.groupBy("source", "chars", "bytes").agg(F.approx_count_distinct("h").alias("n"), F.count("*").alias("rows"))
     top = by_size.groupBy("source").agg(F.max("chars").alias("max_chars"), F.max("bytes").alias("max_bytes"))
     # few sizes per source are near its largest one, whatever the number of texts
     near = by_size.join(top, "source").groupBy("source", "max_chars", "max_bytes")
     return near.agg(
         F.sum(F.when(F.col("chars") == F.col("max_chars"), F.col("n")).otherwise(0)).alias("at_chars"),
-        F.sum(F.when(F.col("bytes") >= F.col("max_bytes") - 3, F.col("n")).otherwise(0)).alias("at_bytes"),
+        F.sum(F.when(F.col("bytes") >= F.col("max_bytes") - 3, F.col("n")).otherwise(0)).alias("at_bytes"), F.sum("rows").alias("rows"),
     )
 
 
@@ -81,6 +84,12 @@ def word_facts(df: DataFrame, text_col: str) -> dict[str, tuple[int, float]]:
     return {w: (n, e / n) for w, n, e in zip(*[c.to_pylist() for c in rows.columns], strict=True)}
 
 
+def _unmarked(x: str) -> str:
+    """The text without the mark of a cut at its end."""
+    x = x.rstrip()
+    return next((x[: -len(m)] for m in MARKS if x.endswith(m)), x)
+
+
 def _shape(x: str) -> str:
     x = re.sub(r"[^\W\d_]", lambda m: "A" if m.group().isupper() else "a", x)
     return re.sub(r"(.)\1+", r"\1", re.sub(r"\d", "9", x))
@@ -99,12 +108,12 @@ def _bucket(x: float) -> int:
 def closing_features(text: str, limit: tuple[int, int, int, int] | None, words: dict) -> list[str]:
     """How a text closes: last characters, punctuation, last words, last line, length against its source's limit."""
     out: list[str] = []
-    tail = text[-TAIL:]
-    bare = MARK.sub("", tail)
-    mark = len(bare) != len(tail)
+    shown = text.rstrip()
+    bare = _unmarked(shown)
+    mark = len(bare) != len(shown)
     end = bare.rstrip()
     terminal = bool(TERMINAL.search(end)) and not mark
-    state = ("mark" if mark else "") + ("space" if not mark and tail != end else "") + ("stop" if terminal else "")
+    state = ("mark" if mark else "") + ("space" if not mark and len(text) != len(shown) else "") + ("stop" if terminal else "")
     if limit:
         chars, at_chars, size, at_bytes = limit
         n, b = len(text), len(text.encode("utf-8", "surrogatepass"))
@@ -112,8 +121,8 @@ def closing_features(text: str, limit: tuple[int, int, int, int] | None, words:
             out.append(f"limit chars {min(4, _bucket(at_chars))} {state}")
         if size - b <= 3:
             out.append(f"limit bytes {min(4, _bucket(at_bytes))} {state}")
-    lines = text.rstrip().split("\n")
-    last = MARK.sub("", lines[-1]).strip()
+    lines = shown.split("\n")
+    last = _unmarked(lines[-1]).strip()
     toks = WORD.findall(last.lower())
     w = toks[-1] if toks else ""
     if not last.endswith(w) and last[-1:].isalnum():
@@ -128,12 +137,12 @@ def closing_features(text: str, limit: tuple[int, int, int, int] | None, words:
     out += [f"state {state}", f"context {context}", f"c1 {end[-1:]}", f"c2 {end[-2:]}", f"c3 {end[-3:]}", f"c4 {end[-4:]}"]
     out += [f"kind {kind} {context}", f"final {ending} {context}", f"kind {kind} {ending} {context}", f"shape {_shape(end[-12:])} {context}"]
     if not terminal:
-        out += [f"w {w}", f"line {_shape(last)[:60]}", f"ww {' '.join(toks[-2:])}", f"start {' '.join(toks[:2])}"]
+        out += [f"w {w}", f"line {_shape(last)}", f"ww {' '.join(toks[-2:])}", f"start {' '.join(toks[:2])}"]
         previous = next((x for x in reversed(lines[:-1]) if x.strip()), "")
         out.append(f"above {context} {int(is_entry(previous))} {previous.rstrip()[-1:] if not previous.rstrip()[-1:].isalnum() else 'x'}")
         out.append(f"tokens {min(12, len(toks))} {context}")
         kinds, before = _coarse(last), [_coarse(x.strip()) for x in lines[-4:-1] if x.strip()]
-        out += [f"coarse {kinds[-40:]}", f"like {sum(k == kinds for k in before)} {kind.split()[0]}", f"commas {sum(k.count(',') == kinds.count(',') and len(k) < 24 for k in before)} {len(kinds) < 24}"]
+        out += [f"coarse {kinds}", f"like {sum(k == kinds for k in before)} {kind.split()[0]}", f"commas {sum(k.count(',') == kinds.count(',') and len(k) < 24 for k in before)} {len(kinds) < 24}"]
         if entry or is_entry(previous):
             same = _shape(previous.strip()) == _shape(last)
             cells = [len(re.split(r"\t|\s{2,}|\||,|\.{4,}", x.strip())) for x in (previous, last)]
@@ -142,8 +151,8 @@ def closing_features(text: str, limit: tuple[int, int, int, int] | None, words:
         alone = len(lines) > 1 and (previous.rstrip()[-1:] in ".!?”\"»" or not lines[-2].strip())
         out.append(f"alone {int(alone)} {min(12, len(toks))} {int(last[:1].isupper() or not last[:1].isalpha())}")
         out.append(f"alone {int(alone)} {kind} {ending}")
+    paragraph = text[text.rfind("\n\n") + 1 :]
     for a, b in ("“”", "«»", "()", "„“"):
-        paragraph = text[text.rfind("\n\n") + 1 :]
         if paragraph.count(a) > paragraph.count(b):
             out.append(f"open {a} {state}")
     return out
@@ -171,6 +180,16 @@ def cut(text: str, limits: list[tuple], rng: random.Random) -> tuple[str, tuple
     return None
 
 
+def signed(text: str, rng: random.Random) -> str | None:
+    """A complete text with a signature after its last stop, on the same line, of names that stand in it."""
+    names = re.findall(r"(?<=[a-z,] )[A-Z][a-z]{3,}", text)
+    if len(names) < 2 or not TERMINAL.search(text.rstrip()):
+        return None
+    name = " ".join(rng.sample(names, 2))
+    form = rng.choice(("{N}", "{N}, Secretary", "{N}, Secretary.", "— {N}", "{N}, Clerk"))
+    return text.rstrip() + " " + form.replace("{N}", name.upper())
+
+
 def _balanced(x, y, chosen) -> Linear:
     w = np.where(y[chosen] == 1, 0.5 / max(1, y[chosen].sum()), 0.5 / max(1, (1 - y[chosen]).sum()))
     return train([x[k] for k in chosen], y[chosen, None], ("cut",), w, l2=1e-5, rounds=200)
@@ -182,7 +201,7 @@ def fit(joined: DataFrame, limits_of: DataFrame, words: dict, sample: int = SAMP
     joined: id, text, limits; limits_of: the table of limits. Of the texts as they are, some were cut, too: those the first fit gives as cut are left
     out of the second, and their share sets the offset.
     """
-    share = min(1.0, sample / max(1, joined.count()))
+    share = min(1.0, sample / max(1, limits_of.agg(F.sum("rows")).first()[0] or 0))
     picked = joined.where(F.xxhash64("id", F.lit(seed)) < int((2 * share - 1) * 2**63)) if share < 1 else joined
     limits = [tuple(r) for r in limits_of.where("at_chars >= 8").select("max_chars", "at_chars", "max_bytes", "at_bytes").distinct().orderBy(F.desc("at_chars"), "max_chars").limit(LIMITS).collect()]
     limits.sort()
@@ -200,6 +219,10 @@ def fit(joined: DataFrame, limits_of: DataFrame, words: dict, sample: int = SAMP
                 at_limit = own and (own[1] >= 8 and own[0] == len(text) or own[3] >= 8 and own[2] - len(text.encode("utf-8", "surrogatepass")) <= 3)
                 if not at_limit or TERMINAL.search(text.rstrip()):  # most of the others were cut: no examples of whole texts
                     out.append((0, fold, hashed(closing_features(text, own, shared.value))))
+                    extra = random.Random(f"{seed} signed {key}")
+                    whole = signed(text, extra) if extra.random() < SIGNED else None
+                    if whole:
+                        out.append((0, fold, hashed(closing_features(whole, None, shared.value))))
                 for _ in range(2):
                     got = cut(text, limits, rng) if len(text) > 60 and (TERMINAL.search(text.rstrip()) or rng.random() < 0.5) else None
                     if got:
@@ -239,9 +262,9 @@ def truncation(df: DataFrame, id_col: str, text_col: str, source_col: str, sampl
     Null and blank texts are not cut (score 0); a null source counts as one source. Repeated rows stay rows.
     """
     plain = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.coalesce(F.col(f"`{source_col}`"), F.lit("")).alias("source"))
-    limits = source_limits(plain, "text", "source").persist()
+    limits = cut_lineage(source_limits(plain, "text", "source"))
     small = limits.count() <= BROADCAST_ROWS
-    joined = plain.join(F.broadcast(limits) if small else limits, "source", "left")
+    joined = plain.join(F.broadcast(limits.drop("rows")) if small else limits.drop("rows"), "source", "left")
     words = word_facts(plain, "text")
     model = fit(joined, limits, words, sample)
     shared = df.sparkSession.sparkContext.broadcast((model, words))
