@@ -15,7 +15,27 @@ from inkspan.config import Config
 from inkspan.text.classes import c
 from inkspan.text.segments import cut_chunks
 
-CORRECTION = "Correct the OCR errors in the following historical text. Keep archaic spelling. Return only the corrected text.\n\n{text}\n"
+# What models are told.
+CORRECTION = """### Instruction:
+Correct the OCR errors in the following 19th-century historical text.
+Preserve archaic spelling (e.g. publick, hath, ye, honour, connexion).
+Do not modernise vocabulary or grammar.
+If a passage cannot be confidently reconstructed, leave it as-is.
+Return only the corrected text with no commentary.
+
+### Input:
+{text}
+
+### Response:
+"""
+QA_RULES = """Given a newspaper excerpt from a specific date, create ONE focused question that
+the excerpt directly answers, plus a concise 2-4 sentence answer.
+
+Rules:
+- The question must be specific enough that the given newspaper excerpt is a clear ground truth
+- The answer must be based ONLY on the excerpt content
+- Include specific dates, names, and events mentioned in the text
+- Return JSON only -- no preamble, no markdown fences"""
 
 
 def capabilities() -> dict[str, bool]:
@@ -106,8 +126,8 @@ def parsed(x) -> Column:
     return F.when(s.isNotNull() & F.try_parse_json(bare).isNotNull(), F.struct(d("question", ""), d("question_type", "explanatory"), d("answer", ""), d("confidence", "medium")))
 
 
-def generate_pairs(articles: DataFrame, make: Callable[[], Callable[[str], str]]) -> DataFrame:
-    """(ark_id, answer): a model's raw answers for articles; null where it fails, so that a template takes its place."""
+def generate_pairs(articles: DataFrame, make: Callable[[], Callable[[str, str], str]]) -> DataFrame:
+    """(ark_id, answer): a model's raw answers for articles, given QA_RULES and the article's prompt; null where it fails."""
 
     def run(batches):
         model = make()
@@ -115,10 +135,28 @@ def generate_pairs(articles: DataFrame, make: Callable[[], Callable[[str], str]]
             out = []
             for r in pdf.itertuples(index=False):
                 try:
-                    out.append((r.ark_id, model(r.prompt)))
+                    out.append((r.ark_id, model(QA_RULES, r.prompt)))
                 except Exception:
                     out.append((r.ark_id, None))
             yield pd.DataFrame(out, columns=["ark_id", "answer"])
 
-    prompt = F.format_string("Newspaper: %s\nDate: %s\nid: commonwealth:%s\n\nExcerpt:\n%s\n", F.col("newspaper"), F.coalesce("issue_date", F.lit("unknown date")), F.col("ark_id"), F.substring(F.get("top_segments", F.lit(0))["text"], 1, 2000))
+    prompt = F.concat(
+        F.lit("Newspaper: "), "newspaper", F.lit("\nDate: "), F.coalesce("issue_date", F.lit("unknown date")), F.lit("\nark_id: commonwealth:"), "ark_id",
+        F.lit("\n\nExcerpt:\n"), F.substring(F.get("top_segments", F.lit(0))["text"], 1, 2000), F.lit("\n"),
+    )
     return articles.select("ark_id", prompt.alias("prompt")).mapInPandas(run, "ark_id string, answer string")
+
+
+def pairs_of_answers(articles: DataFrame, answers: DataFrame, order: str) -> DataFrame:
+    """Full pairs of articles: made of a model's answer (ark_id, answer) where that is a JSON object, else of a template,
+    used in turn by the article's number in the given order."""
+    from inkspan.operators.articles import ground_truth, template_qa
+
+    by_template = template_qa(articles, order)
+    told = articles.join(answers.select("ark_id", parsed("answer").alias("_p")).where("_p is not null"), "ark_id")
+    top = F.get("top_segments", F.lit(0))
+    by_model = told.select(
+        "_p.question", "_p.question_type", ground_truth().alias("ground_truths"), "_p.answer", "_p.confidence",
+        F.format_string("pseudoGT_llm | war_score=%d | ocr=%s", top["score"], F.col("ocr_source")).alias("notes"), "period", order,
+    )
+    return by_template.join(by_model.select(order), order, "left_anti").unionByName(by_model)

@@ -29,20 +29,14 @@ def period_keywords(period, keywords: dict[str, list[str]] = PERIOD_KEYWORDS) ->
 
 
 def extract_articles(df: DataFrame, period: Column, keywords: dict[str, list[str]] = PERIOD_KEYWORDS, min_chars: int = 100, min_segment: int = 200, min_score: int = 2, top: int = 5) -> DataFrame:
-    """Records (with text, ocr_source) that have segments of the period's topic, with the best of them. All in one
-    projection: no join, no shuffle."""
+    """Records (with text, ocr_source) that have segments of the period's topic, with the best of them. No join, no
+    shuffle."""
     topic = period_keywords(F.col("period"), keywords)
-
-    def facts(clean: Column) -> Column:
-        def scored(segs: Column) -> Column:
-            return F.struct(F.size(segs).alias("total"), top_segments(segs, topic, min_score, top).alias("top"), F.length(clean).alias("chars"))
-
-        return let(segments(clean, min_segment), scored)
-
-    found = df.where(F.length(text_of("text")) >= min_chars).withColumn("period", period).withColumn("_f", let(clean_eval("text"), facts))
+    cleaned = df.where(F.length(text_of("text")) >= min_chars).withColumn("period", period).withColumn("_clean", clean_eval("text"))
+    found = cleaned.withColumn("_segs", segments("_clean", min_segment)).withColumn("_top", top_segments(F.col("_segs"), topic, min_score, top))
     out = found.select(
         "ark_id", "record_id", "newspaper", F.coalesce("issue_date", F.lit("")).alias("issue_date"), "date_iso", "year", F.coalesce("title", F.lit("")).alias("title"), "period",
-        "ocr_source", F.col("_f.total").alias("total_segments"), F.col("_f.top.n").alias("war_segments"), F.col("_f.top.best").alias("top_segments"), F.col("_f.chars").alias("full_text_chars"),
+        "ocr_source", F.size("_segs").alias("total_segments"), F.col("_top.n").alias("war_segments"), F.col("_top.best").alias("top_segments"), F.length("_clean").alias("full_text_chars"),
     )
     return out.where("war_segments > 0")
 
@@ -96,14 +90,16 @@ def query_keywords(x) -> Column:
     return F.filter(F.split(F.lower(text_of(x)), f"{NOT_W}+"), lambda w: F.length(w) > 2)
 
 
-def retrieve(queries: DataFrame, records: DataFrame, top: int = 5, order: str = "seq", preview: int = 5000) -> DataFrame:
-    """(query_id, order, score, rank): the records in which most of a query's keywords occur, as substrings.
+def retrieve(queries: DataFrame, records: DataFrame, top: int = 5, order: str = "seq", preview: int | None = None) -> DataFrame:
+    """(query_id, order, score, rank): the records in which most of a query's keywords occur, as substrings. preview: only
+    so many characters of a text are searched, if given.
 
     queries: query_id, question. Substring matches allow no index on words; the query set, broadcast in blocks of
     bounded size, is held against all records, and each block of records keeps its best rows before they are ranked.
     """
     blocks = max(1, -(-queries.count() // 2_000))
-    text = F.lower(F.concat_ws(" ", text_of("newspaper"), text_of("issue_date"), F.substring(text_of("raw_text"), 1, preview)))
+    body = text_of("raw_text") if preview is None else F.substring(text_of("raw_text"), 1, preview)
+    text = F.lower(F.concat_ws(" ", text_of("newspaper"), text_of("issue_date"), body))
     searched = records.select(order, text.alias("_text"))
     keyed = queries.select("query_id", query_keywords("question").alias("_keys"))
     out = None
@@ -120,26 +116,47 @@ def retrieve(queries: DataFrame, records: DataFrame, top: int = 5, order: str =
     return out
 
 
-def excerpts_prompt(hits: DataFrame, queries: DataFrame, records: DataFrame, order: str = "seq", chars: int = 2000) -> DataFrame:
-    """(query_id, records, prompt): the query with excerpts of its records in their order; without records, alone."""
+# The instructions that models are given.
+ANSWER_RULES = """Rules:
+- Base your answer ONLY on the provided excerpts — do not use external knowledge
+- If the excerpts do not contain relevant information, say so honestly
+- Keep answers factual and cite specific dates when mentioned in the text
+- confidence = high if text directly answers query, medium if partially, low if tangential"""
+NO_RECORDS = "No relevant newspaper records found in the dataset for this query."
+NO_RECORDS_NOTE = "No matching records in dataset"
+
+
+def excerpts_prompt(hits: DataFrame, queries: DataFrame, records: DataFrame, order: str = "seq", chars: int = 2000, archive: str = "newspaper") -> DataFrame:
+    """(query_id, records, prompt): the query with excerpts of its records in their order, at most ``chars`` of each;
+    archive: whose excerpts the prompt says they are. Queries without records have a prompt without excerpts."""
     d = lambda col, default: F.coalesce(F.col(col), F.lit(default))
-    excerpt = F.concat(F.lit("--- Record: "), d("newspaper", "Unknown"), F.lit(", "), d("issue_date", "Unknown date"), F.lit(" ---\nid: "), d("record_id", "N/A"), F.lit("\nText excerpt:\n"), F.substring(text_of("raw_text"), 1, chars), F.lit("\n"))
+    excerpt = F.concat(F.lit("--- Record: "), d("newspaper", "Unknown"), F.lit(", "), d("issue_date", "Unknown date"), F.lit(" ---\nark_id: "), d("record_id", "N/A"), F.lit("\nText excerpt:\n"), F.substring(text_of("raw_text"), 1, chars), F.lit("\n"))
     rows = hits.join(records.select(order, excerpt.alias("e")), order).groupBy("query_id").agg(F.count("*").alias("records"), F.array_sort(F.collect_list(F.struct("rank", "e"))).alias("es"))
     joined = queries.join(rows, "query_id", "left")
-    return joined.select("query_id", F.coalesce("records", F.lit(0)).alias("records"), F.concat(F.lit("Query: "), "question", F.lit("\n\n"), F.coalesce(F.array_join(F.transform("es", lambda x: x["e"]), "\n"), F.lit(""))).alias("prompt"))
+    shown = F.coalesce(F.array_join(F.transform("es", lambda x: x["e"]), "\n"), F.lit(""))
+    prompt = F.concat(F.lit("Query: "), text_of("question"), F.lit(f"\n\nHere are the most relevant newspaper excerpts from the {archive} archive:\n\n"), shown)
+    return joined.select("query_id", F.coalesce("records", F.lit(0)).alias("records"), prompt.alias("prompt"))
 
 
 def merge_answers(queries: DataFrame, answered: DataFrame, generated: DataFrame, order: str) -> DataFrame:
-    """Queries with ground truths as they are; of the others, the last stored answer, else the new one, else a
-    low-confidence result. Frames: question, answer, confidence; queries also ground_truths and order."""
-    has = F.size("ground_truths") > 0
-    own = queries.where(has).select(order, "question", "answer", F.lit("given").alias("source"))
-    stored = answered.groupBy("question").agg(F.max_by("answer", "at").alias("stored"))
-    made = generated.groupBy("question").agg(F.max_by("answer", "at").alias("made"))
-    rest = queries.where(~F.coalesce(has, F.lit(False))).join(stored, "question", "left").join(made, "question", "left")
-    answer = F.coalesce("stored", "made", F.lit("No relevant records found in the dataset."))
-    source = F.when(F.col("stored").isNotNull(), "stored").when(F.col("made").isNotNull(), "generated").otherwise("none")
-    return own.unionByName(rest.select(order, "question", answer.alias("answer"), source.alias("source")))
+    """(order, question, question_type, answer, confidence, notes, source): queries with ground truths as they are; of the
+    others, the last stored answer, else the new one, else a low-confidence result without records.
+
+    queries: order, question, question_type, ground_truths, answer, confidence, notes; answered and generated: question,
+    answer, confidence, notes and ``at``, by which the last one is told."""
+    has = F.coalesce(F.size("ground_truths") > 0, F.lit(False))
+    own = queries.where(has).select(order, "question", "question_type", "answer", "confidence", "notes", F.lit("given").alias("source"))
+    last = lambda df, name: df.groupBy("question").agg(F.max_by(F.struct("answer", "confidence", "notes"), "at").alias(name))
+    rest = queries.where(~has).select(order, "question", "question_type").join(last(answered, "_s"), "question", "left").join(last(generated, "_m"), "question", "left")
+    # an answer that was made gets its defaults and the mark of its kind
+    made = F.struct(
+        text_of("_m.answer").alias("answer"), F.coalesce("_m.confidence", F.lit("low")).alias("confidence"),
+        F.concat(F.lit("pseudoGT | "), F.coalesce("_m.notes", F.lit("generated from actual newspaper text"))).alias("notes"), F.lit("generated").alias("source"),
+    )
+    none = F.struct(F.lit(NO_RECORDS).alias("answer"), F.lit("low").alias("confidence"), F.lit(f"pseudoGT | {NO_RECORDS_NOTE}").alias("notes"), F.lit("none").alias("source"))
+    stored = F.struct("_s.answer", "_s.confidence", "_s.notes", F.lit("stored").alias("source"))
+    chosen = F.when(F.col("_s").isNotNull(), stored).when(F.col("_m").isNotNull(), made).otherwise(none)
+    return own.unionByName(rest.select(order, "question", "question_type", chosen.alias("_c")).select(order, "question", "question_type", "_c.*"))
 
 
 # -- export ----------------------------------------------------------------------------------------------------------

@@ -113,3 +113,9 @@ def cost_model(stats: DataFrame, prices: dict[str, float] = EMBEDDING_PRICES) ->
     each = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(p).alias("price")) for m, p in prices.items()]))
     cost = F.col("mean") * F.col("price") / 1_000_000
     return stats.select("mean", each.alias("m")).select("m.model", "m.price", "mean").select("model", "price", rounded(cost, 6).alias("per_page"), rounded(cost * 1_000).alias("per_1000_pages"), rounded(cost * 10_000).alias("per_10000_pages"))
+
+
+def fields_seen(df: DataFrame) -> DataFrame:
+    """(field, records): the keys that records have values for, as their JSON has them, and how many records do."""
+    keys = F.json_object_keys(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    return df.select(F.explode(keys).alias("field")).groupBy("field").agg(F.count("*").alias("records"))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import textwrap
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkspan.config import ID_PREFIX
+from inkspan.session import ship_package
 from inkspan.text.classes import c
+from inkspan.text.segments import packed
 
 # -- scalars ---------------------------------------------------------------------------------------------------------
 
@@ -192,14 +197,42 @@ def join_pages(df: DataFrame, id_col: str = "ark_id", page_col: str = "page_no",
     return df.groupBy(id_col).agg(F.array_join(F.transform(pages, lambda p: p["t"]), f"\n\n{PAGE_BREAK}\n\n").alias("text"))
 
 
-def render_issue(full: bool = False) -> Column:
-    """An issue as readable text: a header of its metadata, then packed sentences or a preview of 600 characters."""
-    from inkspan.text.segments import packed_sentences
+#: Columns of a rendered issue.
+WIDTH = 80
 
-    shown = lambda x, default: F.coalesce(F.nullif(c(x), F.lit("")), F.lit(default))
-    head = F.format_string(
-        "%s\n%s\npages: %s\ncharacters: %s", F.upper(shown("newspaper", "Unknown")), shown("issue_date", "Unknown"),
-        F.coalesce(F.col("page_count").cast("string"), F.lit("?")), F.format_number(F.coalesce(F.col("char_count"), F.lit(0)), 0),
-    )
-    body = F.array_join(packed_sentences("raw_text"), "\n\n") if full else F.substring(F.coalesce("raw_text", F.lit("")), 1, 600)
-    return F.concat(head, F.lit("\n\n"), body)
+
+def wrapped(text: str, indent: int = 2, width: int = WIDTH) -> str:
+    """The text in lines of at most width columns, indented."""
+    return textwrap.fill(text, width=width, initial_indent=" " * indent, subsequent_indent=" " * indent)
+
+
+def rendered(r: dict, full: bool) -> str:
+    """An issue as readable text: its metadata between rules, then the whole text in packed sentences, or a preview."""
+    text, date = r["raw_text"] or "", (r["date_start"] or "")[:10]
+    heavy, light = "=" * WIDTH, "-" * WIDTH
+    out = [heavy, f"  {(r['newspaper'] or 'Unknown Newspaper').upper()}", f"  {r['issue_date'] or date}", heavy, ""]
+    pages = "?" if r["page_count"] is None else r["page_count"]
+    facts = {"Collection": r["collection"] or "?", "Date": date, "Pages": pages, "Length": f"{r['char_count'] or 0:,} characters", "Source": r["source_url"] or ""}
+    out += [f"  {k:<12}: {v}" for k, v in facts.items()] + ["", light, ""]
+    if full:
+        out += ["  FULL TEXT", ""]
+        for p in packed(text):
+            out += [wrapped(p), ""]
+    else:
+        out += ["  PREVIEW (first 600 chars)", "", wrapped(text[:600]), "  [... truncated. Use --full to see complete text ...]", ""]
+    return "\n".join([*out, heavy])
+
+
+def render_issue(full: bool = False) -> Column:
+    """rendered as an Arrow function over the columns of an issue; missing fields have defaults."""
+    names = ["newspaper", "issue_date", "date_start", "collection", "page_count", "char_count", "source_url", "raw_text"]
+    ship_package(SparkSession.active())
+
+    @F.pandas_udf("string")
+    def run(rows: pd.DataFrame) -> pd.Series:
+        cols = {n: rows[n].astype(object).where(rows[n].notna(), None) for n in names}
+        whole = [None if v is None else int(v) for v in cols["page_count"]], [None if v is None else int(v) for v in cols["char_count"]]
+        cols["page_count"], cols["char_count"] = whole
+        return pd.Series([rendered(dict(zip(names, v, strict=True)), full) for v in zip(*(cols[n] for n in names), strict=True)], dtype=object)
+
+    return run(F.struct(*names))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkspan import models
 from inkspan.config import ERA_KEYWORDS, QA_TEMPLATES
 from inkspan.operators import articles, corpus
 from inkspan.plans import sql as S
 from inkspan.session import table
-from inkspan.text.classes import NOT_W
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -38,10 +38,13 @@ def completeness(spark: SparkSession, d: str) -> DataFrame:
     return corpus.completeness(_qa(spark, d), FIELDS)
 
 
-@query("select 'x' as t, column_name as field from (describe test_queries) c")
+_SEEN = ["qa_id", *FIELDS, "generated_at"]
+
+
+@query(" union all ".join(f"select '{f}' as field, count({f}) as records from test_queries having count({f}) > 0" for f in _SEEN))
 def fields_seen(spark: SparkSession, d: str) -> DataFrame:
-    q = _qa(spark, d)
-    return spark.createDataFrame([("x", c) for c in q.columns], "t string, field string")
+    """The keys that the records have values for, and in how many of them, from the records themselves."""
+    return corpus.fields_seen(_qa(spark, d))
 
 
 @query(f"select question_type as value, count(*) as n, {S.rounded('count(*)::double / (select count(*) from test_queries)')} as share from test_queries group by 1")
@@ -183,8 +186,8 @@ def template_qa(spark: SparkSession, d: str) -> DataFrame:
 #: The query set: every pair whose id is divisible by 50.
 _QUERYSET = "select qa_id as query_id, question from test_queries where qa_id % 50 = 0"
 _HITS = (
-    f"with q as (select query_id, list_filter(string_split_regex(lower(coalesce(question, '')), '{NOT_W}+'), lambda w: length(w) > 2) as ks from ({_QUERYSET}) z), "
-    "r as (select seq, lower(concat_ws(' ', coalesce(newspaper, ''), coalesce(issue_date, ''), substring(coalesce(raw_text, ''), 1, 5000))) as t from issues), "
+    f"with q as (select query_id, list_filter(string_split_regex(lower(coalesce(question, '')), '[^\\p{{L}}\\p{{N}}_]+'), lambda w: length(w) > 2) as ks from ({_QUERYSET}) z), "
+    "r as (select seq, lower(concat_ws(' ', coalesce(newspaper, ''), coalesce(issue_date, ''), coalesce(raw_text, ''))) as t from issues), "
     "s as (select query_id, seq, len(list_filter(ks, lambda w: contains(t, w))) as score from q, r), "
     "k as (select *, row_number() over (partition by query_id order by score desc, seq) as rank from s where score > 0) select query_id, seq, score, rank from k where rank <= 5"
 )
@@ -199,23 +202,46 @@ def retrieve_top5(spark: SparkSession, d: str) -> DataFrame:
     return articles.retrieve(_queries(spark, d), table(spark, d, "issues", spread=True))
 
 
-@query()
+@query(
+    _HITS.replace("select query_id, seq, score, rank from k where rank <= 5", "")
+    + ", e as (select query_id, count(*) as records, string_agg('--- Record: ' || coalesce(newspaper, 'Unknown') || ', ' || coalesce(issue_date, 'Unknown date') || ' ---' || chr(10) || 'ark_id: ' || coalesce(record_id, 'N/A') || chr(10) || 'Text excerpt:' || chr(10) || substring(coalesce(raw_text, ''), 1, 2000) || chr(10), chr(10) order by rank) as shown "
+    "from k join issues i using (seq) where rank <= 5 group by query_id) "
+    f"select z.query_id, coalesce(records, 0) as records, 'Query: ' || coalesce(question, '') || chr(10) || chr(10) || 'Here are the most relevant newspaper excerpts from the newspaper archive:' || chr(10) || chr(10) || coalesce(shown, '') as prompt from ({_QUERYSET}) z left join e on z.query_id = e.query_id"
+)
 def retrieval_prompts(spark: SparkSession, d: str) -> DataFrame:
     q, r = _queries(spark, d), table(spark, d, "issues", spread=True)
     return articles.excerpts_prompt(articles.retrieve(q, r), q, r)
 
 
+_LAST = "select question, arg_max(struct_pack(answer := answer, confidence := confidence, notes := notes), qa_id) as s from test_queries where confidence = '{}' group by question"
+
+
 @query(
-    "with q as (select qa_id, question, ground_truths, answer from test_queries), st as (select question, max(answer) as stored from (select question, arg_max(answer, qa_id) as answer from test_queries where confidence = 'high' group by question) h group by question), "
-    "md as (select question, arg_max(answer, qa_id) as made from test_queries where confidence = 'low' group by question) "
-    "select qa_id, case when len(ground_truths) > 0 then q.answer else coalesce(stored, made, 'No relevant records found in the dataset.') end as answer, "
-    "case when len(ground_truths) > 0 then 'given' when stored is not null then 'stored' when made is not null then 'generated' else 'none' end as source from q left join st on q.question = st.question left join md on q.question = md.question"
+    f"with q as (select * from test_queries), st as ({_LAST.format('high')}), md as ({_LAST.format('low')}), j as (select q.qa_id, q.question, q.question_type, coalesce(len(q.ground_truths) > 0, false) as given, q.answer, q.confidence, q.notes, "
+    "st.s as a, md.s as b, st.question is not null as has_a, md.question is not null as has_b from q left join st on q.question = st.question left join md on q.question = md.question) "
+    "select qa_id, question, question_type, case when given then answer when has_a then a.answer when has_b then coalesce(b.answer, '') else 'No relevant newspaper records found in the dataset for this query.' end as answer, "
+    "case when given then confidence when has_a then a.confidence when has_b then coalesce(b.confidence, 'low') else 'low' end as confidence, "
+    "case when given then notes when has_a then a.notes when has_b then 'pseudoGT | ' || coalesce(b.notes, 'generated from actual newspaper text') else 'pseudoGT | No matching records in dataset' end as notes, "
+    "case when given then 'given' when has_a then 'stored' when has_b then 'generated' else 'none' end as source from j"
 )
 def merge_answers(spark: SparkSession, d: str) -> DataFrame:
     q = _qa(spark, d)
-    stored = q.where("confidence = 'high'").select("question", "answer", F.col("qa_id").alias("at"))
-    made = q.where("confidence = 'low'").select("question", "answer", F.col("qa_id").alias("at"))
-    return articles.merge_answers(q, stored, made, "qa_id").select("qa_id", "answer", "source")
+    told = lambda kind: q.where(f"confidence = '{kind}'").select("question", "answer", "confidence", "notes", F.col("qa_id").alias("at"))
+    return articles.merge_answers(q, told("high"), told("low"), "qa_id")
+
+
+@query(
+    f"with p as (select *, row_number() over (order by ark_id) - 1 as n from {_OPEN} p0) select ark_id, case when n % 2 = 0 then 'Q of ' || ark_id else replace(replace({_TEMPLATES}[n % 5 + 1], '{{newspaper}}', newspaper), '{{date}}', {_DATE}) end as question, "
+    f"case when n % 2 = 0 then 'explanatory' else {_TYPES}[n % 5 + 1] end as question_type, case when n % 2 = 0 then 'high' else 'medium' end as confidence, "
+    "case when n % 2 = 0 then 'pseudoGT_llm | war_score=' else 'pseudoGT_template | war_score=' end || top_segments[1].score || ' | ocr=' || ocr_source as notes from p"
+)
+def model_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of a stand-in model's fenced answers for every other article, of templates for the rest."""
+    opened = _open_articles(spark, d)
+    n = articles.numbered(opened.select("ark_id"), "ark_id")
+    told = F.concat(F.lit('```json\n{"question": "Q of '), "ark_id", F.lit('", "answer": "A.", "confidence": "high"}\n```'))
+    answers = n.select("ark_id", F.when(F.col("n") % 2 == 0, told).otherwise("no answer").alias("answer"))
+    return models.pairs_of_answers(opened, answers, "ark_id").select("ark_id", "question", "question_type", "confidence", "notes")
 
 
 # -- token volume ------------------------------------------------------------------------------------------------------
@@ -259,6 +285,19 @@ def cost_model(spark: SparkSession, d: str) -> DataFrame:
     return corpus.cost_model(corpus.token_stats(_per_page(spark, d)))
 
 
+@query(f"select coalesce(year[1], 0) as year, p.collection, tokens_per_page, count(*) as issues from ({_PER_PAGE}) p join issues i using (seq) group by 1, 2, 3")
+def tokens_by_year(spark: SparkSession, d: str) -> DataFrame:
+    """The points of a chart of tokens per page by year and collection, equal ones together."""
+    kept = corpus.per_page(table(spark, d, "issues", spread=True), ["seq", "collection", F.coalesce(F.get("year", F.lit(0)), F.lit(0)).alias("year")], "raw_text", "page_count")
+    return kept.groupBy("year", "collection", "tokens_per_page").agg(F.count("*").alias("issues"))
+
+
+@query("select page_count, count(*) as issues from issues where page_count is not null group by 1")
+def pages_by_count(spark: SparkSession, d: str) -> DataFrame:
+    """The bars of a chart of pages per issue."""
+    return table(spark, d, "issues").where("page_count is not null").groupBy("page_count").agg(F.count("*").alias("issues"))
+
+
 @query(f"select period, coalesce(year[1]::varchar, 'unknown') as year, count(*) as articles, sum(war_segments)::bigint as segments from articles group by 1, 2")
 def articles_by_period(spark: SparkSession, d: str) -> DataFrame:
     """Articles by the period and year that their files are named by."""

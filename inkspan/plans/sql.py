@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from inkspan.config import JUNK_CHARS, REPLACE_FROM, REPLACE_TO, SHORT_WORDS
-from inkspan.text.classes import NOT_WS, WS, WS_IN
-from inkspan.text.clean import KEPT, steps
-from inkspan.text.metrics import PUNCT_ONLY
+# Written out here, not taken from the operators, so that a mistake there shows.
+SPACE_IN = r"\s\x0b\x1c-\x1f\x85\p{Z}"
+SPACE, SOLID = f"[{SPACE_IN}]", f"[^{SPACE_IN}]"
+JUNK = "|¦©°∫¬§±×÷¤¨¸˜"
+FROM, TO = "|¦©°ſ∫", "IIooss"
+SHORT = ["a", "i", "o", "an", "as", "at", "be", "by", "do", "go", "he", "if", "in", "is", "it", "me", "my", "no", "of", "on", "or", "so", "to", "up", "us", "we", "mr", "dr", "st", "vs"]
+#: The rewrites of cleaning, in order; those of parentheses are left out in one variant.
+REWRITES = [
+    (r"([\p{L}\p{N}_])-[\s\x0b\x1c-\x1f\x85\p{Z}]*\n[\s\x0b\x1c-\x1f\x85\p{Z}]*([\p{L}\p{N}_])", r"\1\2"),
+    (r"\n{3,}", "\n\n"), (r"[ \t]+", " "), (r" *\n *", "\n"), (r"[\s\x0b\x1c-\x1f\x85\p{Z}]([.,;:!?])", r"\1"),
+    (r"\([\s\x0b\x1c-\x1f\x85\p{Z}]+", "("), (r"[\s\x0b\x1c-\x1f\x85\p{Z}]+\)", ")"),
+    (r"[^\p{L}\p{N}_\s\x0b\x1c-\x1f\x85\p{Z}.,!?;:'\"\-\x{2013}\x{2014}()]", ""),
+]
 
 
 def lit(s: str) -> str:
@@ -17,11 +26,11 @@ def listed(items) -> str:
 
 
 def sub(x: str, pattern: str, to: str = "") -> str:
-    return f"regexp_replace({x}, {lit(pattern)}, {lit(to.replace('$', chr(92)))}, 'g')"
+    return f"regexp_replace({x}, {lit(pattern)}, {lit(to)}, 'g')"
 
 
 def strip(x: str) -> str:
-    return sub(x, f"^{WS}+|{WS}+\\z")
+    return sub(x, f"^{SPACE}+|{SPACE}+\\z")
 
 
 def found(x: str, pattern: str) -> str:
@@ -33,7 +42,7 @@ def count(x: str, pattern: str) -> str:
 
 
 def tokens(x: str) -> str:
-    return found(x, f"{NOT_WS}+")
+    return found(x, f"{SOLID}+")
 
 
 def words(x: str) -> str:
@@ -50,36 +59,36 @@ def ratio(a: str, b: str) -> str:
 
 
 def replaced(x: str) -> str:
-    return f"replace(translate({x}, {lit(REPLACE_FROM)}, {lit(REPLACE_TO)}), chr(0), '')"
+    return f"replace(translate({x}, {lit(FROM)}, {lit(TO)}), chr(0), '')"
 
 
 def clean(x: str, parentheses: bool = True) -> str:
     x = replaced(x)
-    for pattern, to in steps(parentheses):
+    for pattern, to in REWRITES if parentheses else [*REWRITES[:5], REWRITES[7]]:
         x = sub(x, pattern, to)
     return strip(x)
 
 
 def clean_flat(x: str) -> str:
-    return strip(sub(sub(sub(x, *steps()[0]), f"{WS}+", " "), KEPT))
+    return strip(sub(sub(sub(x, *REWRITES[0]), f"{SPACE}+", " "), REWRITES[7][0]))
 
 
 def junk(x: str) -> str:
-    return count(x, f"[{JUNK_CHARS}]")
+    return count(x, f"[{JUNK}]")
 
 
 def symbols(x: str) -> str:
-    return count(x, rf"[^\p{{L}}\p{{N}}{WS_IN}{JUNK_CHARS}]")
+    return count(x, rf"[^\p{{L}}\p{{N}}{SPACE_IN}{JUNK}]")
 
 
 def non_alpha(x: str) -> tuple[str, str]:
-    kept = f"list_filter({tokens(x)}, lambda t: not regexp_full_match(t, {lit(PUNCT_ONLY)}))"
+    kept = f"list_filter({tokens(x)}, lambda t: not regexp_full_match(t, {lit("[.,;:!?\\-\"'()]+")}))"
     return f"len(list_filter({kept}, lambda t: not regexp_matches(t, '[a-zA-Z]')))", f"len({kept})"
 
 
 def short(x: str) -> tuple[str, str]:
     letters = f"list_filter(list_transform({tokens(x)}, lambda t: regexp_replace(t, '[^a-zA-Z]', '', 'g')), lambda t: t <> '')"
-    return f"len(list_filter({letters}, lambda t: length(t) <= 2 and not list_contains({listed(SHORT_WORDS)}, lower(t))))", f"len({letters})"
+    return f"len(list_filter({letters}, lambda t: length(t) <= 2 and not list_contains({listed(SHORT)}, lower(t))))", f"len({letters})"
 
 
 def scores(x: str) -> dict[str, str]:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.config import JUNK_CHARS, PERIOD_KEYWORDS, WHITELIST
+from inkspan.config import PERIOD_KEYWORDS, WHITELIST
 from inkspan.operators import articles, quality, vocabulary
 from inkspan.plans import sql as S
-from inkspan.session import table
+from inkspan.session import cut_lineage, table
 from inkspan.text import clean, metrics, segments
 from inkspan.text.classes import text_of
 
@@ -59,7 +59,7 @@ def record_update(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"select doc_id, {S.junk('text')} as junk, {S.symbols('text')} as symbols, {S.non_alpha('text')[0]} as non_alpha, {S.non_alpha('text')[1]} as alpha_base, "
-    f"{S.short('text')[0]} as short, {S.short('text')[1]} as short_base, {S.count('text', quality.NOT_WS + '+')} as tokens, {S.score_columns('text')} from documents"
+    f"{S.short('text')[0]} as short, {S.short('text')[1]} as short_base, {S.count('text', S.SOLID + '+')} as tokens, {S.score_columns('text')} from documents"
 )
 def doc_quality(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "documents", spread=True)
@@ -170,7 +170,7 @@ def word_frequencies(spark: SparkSession, d: str) -> DataFrame:
 
 
 _OOV = (
-    f"with v as ({_VOCAB}), known as (select word from v union select word from ({_FREQ}) f where zipf > 4.0), "
+    f"with v as ({_VOCAB}), known as (select word from v union {_WHITE} union select word from ({_FREQ}) f where zipf > 1.5), "
     f"t as (select seq, unnest({S.tokens(RAW)}) as tok from issues), w as (select seq, lower(regexp_replace(tok, '^[^a-zA-Z]+|[^a-zA-Z]+\\z', '', 'g')) as word from t) "
     "select i.seq, coalesce(c.tokens, 0) as tokens, coalesce(c.unknown, 0) as unknown, " + S.rounded(S.ratio("coalesce(c.unknown, 0)", "coalesce(c.tokens, 0)")) + " as oov_rate from issues i left join "
     "(select seq, count(*) as tokens, count_if(length(w.word) > 2 and k.word is null) as unknown from w left join known k on w.word = k.word group by seq) c on i.seq = c.seq"
@@ -179,8 +179,9 @@ _OOV = (
 
 @query(_OOV)
 def oov_by_doc(spark: SparkSession, d: str) -> DataFrame:
-    zipf = vocabulary.word_frequencies(table(spark, d, "documents", spread=True), "text")
-    return vocabulary.oov_rates(table(spark, d, "issues", spread=True), "seq", "raw_text", _vocab(spark, d), zipf, threshold=4.0)
+    """Unknown words of the issues: in neither the vocabulary nor the whitelist nor the corpus of documents."""
+    zipf = cut_lineage(vocabulary.word_frequencies(table(spark, d, "documents", spread=True), "text"))
+    return vocabulary.oov_rates(table(spark, d, "issues", spread=True), "seq", "raw_text", vocabulary.union_vocabulary(_vocab(spark, d)), zipf)
 
 
 @query(
@@ -190,7 +191,7 @@ def oov_by_doc(spark: SparkSession, d: str) -> DataFrame:
     "select class, tokens, " + S.rounded("tokens::double / (select sum(tokens) from s)::double") + " as token_ratio, words from a"
 )
 def token_classes(spark: SparkSession, d: str) -> DataFrame:
-    modern = vocabulary.word_frequencies(table(spark, d, "documents", spread=True), "text").where("zipf > 4.0")
+    modern = cut_lineage(vocabulary.word_frequencies(table(spark, d, "documents", spread=True), "text").where("zipf > 4.0"))
     return vocabulary.token_classes(table(spark, d, "issues", spread=True), "raw_text", modern, _vocab(spark, d))
 
 
@@ -199,7 +200,7 @@ def vocab_sample(spark: SparkSession, d: str) -> DataFrame:
     return vocabulary.sorted_sample(_vocab(spark, d))
 
 
-_CHARS = f"select case when contains({S.lit(JUNK_CHARS)}, ch) then 'junk' else 'other' end as class, ch, count(*) as n from (select unnest({S.found(RAW, '[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}' + metrics.WS_IN + ']')}) as ch from issues) x group by 1, 2"
+_CHARS = f"select case when contains({S.lit(S.JUNK)}, ch) then 'junk' else 'other' end as class, ch, count(*) as n from (select unnest({S.found(RAW, '[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}' + S.SPACE_IN + ']')}) as ch from issues) x group by 1, 2"
 
 
 @query(_CHARS)
@@ -217,33 +218,45 @@ def special_chars_top(spark: SparkSession, d: str) -> DataFrame:
     return vocabulary.special_characters(table(spark, d, "issues"), "raw_text").orderBy(F.desc("n"), "ch").limit(10)
 
 
-def _corrections(spark: SparkSession, d: str) -> DataFrame:
-    zipf = vocabulary.word_frequencies(table(spark, d, "documents", spread=True), "text")
-    return vocabulary.corrections(table(spark, d, "documents", spread=True), "text", _vocab(spark, d), zipf, threshold=4.3)
+def _corrections(spark: SparkSession, d: str, distance: int = 1) -> DataFrame:
+    zipf = cut_lineage(vocabulary.word_frequencies(table(spark, d, "documents", spread=True), "text"))
+    return vocabulary.corrections(table(spark, d, "documents", spread=True), "text", vocabulary.union_vocabulary(_vocab(spark, d)), zipf, threshold=4.3, distance=distance)
 
 
+#: The words to correct. What isn't ASCII stands in no word of the vocabulary; as it is compared with these only, one byte
+#: may stand for it, since the check's edit distance counts bytes.
 _CORE = "regexp_extract(tok, '(?s)^([^a-zA-Z]*)(.*?)([^a-zA-Z]*)\\z', 2)"
-
-
-@query(
-    f"with v as ({_VOCAB}), f as ({_FREQ}), t as (select unnest({S.tokens('text')}) as tok from documents), c as (select distinct {_CORE} as core from t), "
+_WRONG = (
+    f"with v as (select distinct word from ({_VOCAB} union all {_WHITE}) u), f as ({_FREQ}), t as (select unnest({S.tokens('text')}) as tok from documents), c as (select distinct {_CORE} as core from t), "
     "w as (select distinct lower(core) as word from c where length(core) > 2 and not regexp_matches(core, '^[A-Z]|[0-9]')), "
-    "x as (select w.word from w left join v on w.word = v.word left join (select word from f where zipf > 4.3) m on w.word = m.word where v.word is null and m.word is null and regexp_full_match(w.word, '[\\x01-\\x7f]*')), "
-    "p as (select x.word, v.word as correction, coalesce(f.zipf, 0.0) as zipf from x join v on abs(length(x.word) - length(v.word)) <= 1 and levenshtein(x.word, v.word) = 1 left join f on v.word = f.word) "
-    "select word, arg_min(correction, {'z': -zipf, 'c': correction}) as correction from p group by word"
+    "x as (select w.word, regexp_replace(w.word, '[^\\x01-\\x7f]', '#', 'g') as bytes from w left join v on w.word = v.word left join (select word from f where zipf > 4.3) m on w.word = m.word where v.word is null and m.word is null), "
+)
+_ONE = _WRONG + (
+    "p as (select x.word, v.word as correction, coalesce(f.zipf, 0.0) as zipf from x join v on abs(length(x.bytes) - length(v.word)) <= 1 and damerau_levenshtein(x.bytes, v.word) = 1 left join f on v.word = f.word), "
+    "fixed as (select word, arg_min(correction, {'z': -zipf, 'c': correction}) as correction from p group by word) "
 )
-def spell_corrections(spark: SparkSession, d: str) -> DataFrame:
-    """The part of spell_corrections_all that SQL can check: words of ASCII characters (the check's edit distance counts bytes)."""
-    return _corrections(spark, d).where(F.col("word").rlike(r"^[\x01-\x7f]*\z"))
 
 
-@query()
-def spell_corrections_all(spark: SparkSession, d: str) -> DataFrame:
-    """Corrections of all words, those with misread characters beyond ASCII, too."""
+@query(_ONE + "select * from fixed")
+def spell_corrections(spark: SparkSession, d: str) -> DataFrame:
+    """Corrections of all words within one edit of the vocabulary."""
     return _corrections(spark, d)
 
 
 @query()
+def spell_corrections_2(spark: SparkSession, d: str) -> DataFrame:
+    """Corrections within two edits."""
+    return _corrections(spark, d, 2)
+
+
+_TOKEN = "case when regexp_matches({core}, '^[A-Z]|[0-9]') or m.k[lower({core})] is null then tok else regexp_extract(tok, '(?s)^([^a-zA-Z]*)(.*?)([^a-zA-Z]*)\\z', 1) || m.k[lower({core})] || regexp_extract(tok, '(?s)^([^a-zA-Z]*)(.*?)([^a-zA-Z]*)\\z', 3) end".replace("{core}", _CORE)
+_PARTS = S.found("coalesce(text, '')", f"{S.SPACE}+|{S.SOLID}+")
+
+
+@query(
+    _ONE + ", m as (select map_from_entries(list({'k': word, 'v': correction})) as k from fixed), r as (select doc_id, " + _PARTS + f" as parts, list_transform({_PARTS}, lambda tok: {_TOKEN}) as new from documents, m) "
+    "select doc_id, array_to_string(new, '') as text, len(list_filter(list_zip(parts, new), lambda z: z[1] <> z[2])) as corrected from r"
+)
 def spell_corrected_texts(spark: SparkSession, d: str) -> DataFrame:
     return vocabulary.corrected_texts(table(spark, d, "documents", spread=True), "doc_id", "text", _corrections(spark, d))
 
@@ -309,11 +322,29 @@ def sentence_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "issues").select("seq", F.size(s).alias("sentences"), F.aggregate(s, F.lit(0).cast("bigint"), lambda a, x: a + F.length(x)).alias("chars"))
 
 
-@query()
+#: Groups of sentences: a group is closed once it has more than 400 characters.
+_PACK = (
+    f"list_reduce(list_transform({_SENT}, lambda t: {{'d': []::varchar[], 'o': '', 'n': 0, 't': t}}), lambda a, b: case when a.n + length(b.t) > 400 "
+    "then {'d': list_append(a.d, case when a.o = '' then b.t else a.o || ' ' || b.t end), 'o': '', 'n': 0, 't': ''} "
+    "else {'d': a.d, 'o': case when a.o = '' then b.t else a.o || ' ' || b.t end, 'n': a.n + length(b.t), 't': ''} end, {'d': []::varchar[], 'o': '', 'n': 0, 't': ''})"
+)
+_PACKS = f"select seq, case when f.o = '' then f.d else list_append(f.d, f.o) end as packs from (select seq, {_PACK} as f from issues) x"
+
+
+@query(f"select seq, (k - 1)::int as pack_no, packs[k] as pack from (select seq, packs, unnest(range(1, len(packs) + 1)) as k from ({_PACKS}) p) y")
 def sentence_packs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "issues", spread=True).select("seq", F.posexplode(segments.packed_sentences("raw_text")).alias("pack_no", "pack"))
 
 
-@query()
+#: Chunks one after the other: at most 1,500 characters, cut at the last space, which goes; without one, at 1,500.
+_CHUNKS = (
+    "with recursive r as (select seq, raw_text as rest, -1 as no, '' as chunk from issues where raw_text <> '' union all "
+    "select seq, case when length(rest) <= 1500 then '' when cut = 0 then substring(rest, 1501) else substring(rest, cut + 1) end, no + 1, "
+    "case when length(rest) <= 1500 then rest when cut = 0 then substring(rest, 1, 1500) else substring(rest, 1, cut - 1) end "
+    "from (select *, case when contains(head, ' ') then 1501 - instr(reverse(head), ' ') else 0 end as cut from (select *, substring(rest, 1, 1500) as head from r where rest <> '') h) c) "
+)
+
+
+@query(_CHUNKS + "select seq, no as chunk_no, chunk from r where no >= 0")
 def text_chunks(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "issues").select("seq", F.posexplode(segments.chunks("raw_text")).alias("chunk_no", "chunk"))

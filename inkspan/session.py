@@ -27,24 +27,24 @@ def local_session(cpus: int = 8, app: str = "inkspan") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(SPREAD, str(cpus))
         .getOrCreate()
     )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """One of the project's Parquet tables; Catalyst prunes and pushes down from here."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread_rows(df) if spread else df
+#: Session setting: into how many partitions tables are dealt out whose queries ask for it. Unset, tables stay as they are.
+SPREAD = "spark.inkspan.spread"
 
 
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores where the input has fewer partitions than there are cores.
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One of the project's Parquet tables; Catalyst prunes and pushes down from here.
 
-    For work that costs far more than moving the rows, on tables of one or a few row groups; larger inputs, which have
-    partitions enough, stay as they are.
+    spread: the query does much work for each row, so where the session asks for it, rows are dealt out. That is for
+    machines whose cores outnumber a small table's row groups; it shuffles the table, so clusters leave it unset.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    parts = spark.conf.get(SPREAD, None)
+    return df.repartition(int(parts)) if spread and parts else df
 
 
 def register(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,15 +17,17 @@ def write_jsonl(df: DataFrame, path: str, append: bool = False, single: bool = F
     out.write.mode("append" if append else "overwrite").option("ignoreNullFields", False).json(path)
 
 
-def append_by_year(df: DataFrame, path: str) -> None:
-    """Records below ``year=``; rows of a year are brought together first, so each has few files."""
-    df.withColumn("year_part", year_of()).repartition("year_part").write.mode("append").partitionBy("year_part").parquet(path)
+def append_by_year(df: DataFrame, path: str, salts: int = 8) -> None:
+    """Records below ``year=``; rows of a year are brought together into ``salts`` files at most, so that a year with very
+    many rows, such as 0 of the undated ones, is no single task."""
+    salt = F.pmod(F.xxhash64("record_id"), F.lit(salts))
+    df.withColumn("year_part", year_of()).repartition("year_part", salt).write.mode("append").partitionBy("year_part").parquet(path)
 
 
 def write_by_day(df: DataFrame, path: str, salts: int = 8) -> None:
     """Records below ``year=/date=``, days without a date together as ``unknown``; only days that occur are replaced.
 
-    That day may hold very many rows: it is spread over ``salts`` files.
+    Days that hold very many rows, as that of the undated may, are spread over ``salts`` files.
     """
     parts = df.withColumn("year_part", year_of()).withColumn("date_part", day_of())
     salt = F.when(F.col("date_part") == "unknown", F.pmod(F.xxhash64("record_id"), F.lit(salts))).otherwise(F.lit(0))
@@ -32,6 +35,28 @@ def write_by_day(df: DataFrame, path: str, salts: int = 8) -> None:
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year_part", "date_part").parquet(path)
 
 
+def write_texts(df: DataFrame, id_col: str, text_col: str, folder: str) -> int:
+    """One file ``<id>.txt`` for each row below a folder that all executors reach, and how many were written. Ids are
+    file names; a null text is an empty file; of rows with the same id one remains."""
+
+    def run(batches):
+        from pyarrow import fs
+
+        if folder.startswith("file:") or "://" not in folder:
+            system, root = fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+        else:
+            system, root = fs.FileSystem.from_uri(folder)
+        system.create_dir(root, recursive=True)
+        for b in batches:
+            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                with system.open_output_stream(f"{root}/{key}.txt") as f:
+                    f.write((text or "").encode("utf-8", "surrogatepass"))
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]}, schema=pa.schema([("n", pa.int64())]))
+
+    rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
+
+
 def write_articles(df: DataFrame, path: str) -> None:
     """Articles below ``period=/year=``, ``unknown`` where there is no year."""
     year = F.coalesce(F.get("year", F.lit(0)).cast("string"), F.lit("unknown"))

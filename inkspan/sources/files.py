@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from inkspan.operators.articles import numbered
 from inkspan.operators.records import image_mime
+from inkspan.session import cut_lineage
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -37,6 +39,8 @@ def read_records(spark: SparkSession, path: str, record: StructType, envelope: S
     own = F.coalesce(*[F.col(f"`{n}`").isNotNull() for n in record.fieldNames()][:1], F.lit(False))
     for n in record.fieldNames()[1:]:
         own = own | F.col(f"`{n}`").isNotNull()
+    for n in names:  # an envelope without records is no record, though it may have fields of that name
+        own = own & F.col(f"`{n}`").isNull()
     return wrapped.unionByName(rows.where(F.col("records").isNull() & own).select(*names, *record.fieldNames()))
 
 
@@ -49,6 +53,15 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType, strict: bool
     return spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no bigint, line) of the lines of all files, numbered from 1 in the order of the files' names and of the lines
+    in them."""
+    found = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    # within a block of a file the scan's order is that of the lines
+    placed = cut_lineage(found.withColumn("at", F.struct("file_path", "file_block_start", F.monotonically_increasing_id().alias("k"))).select("at", F.col("value").alias("line")))
+    return numbered(placed, "at").select((F.col("n") + 1).cast("bigint").alias("line_no"), "line")
+
+
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, text) of the .txt files of a folder, the suffix in any case; undecodable bytes become U+FFFD."""
     raw = spark.read.option("wholetext", True).option("pathGlobFilter", "*.[tT][xX][tT]").text(path)
@@ -81,4 +94,4 @@ def year_files(spark: SparkSession, root: str) -> DataFrame:
     return discover(spark, root, r"^\d{4}\.json$").select("path", "length", F.get(parts, F.size(parts) - 2).alias("collection"), F.regexp_extract("path", r"(\d{4})\.json$", 1).cast("int").alias("year"))
 
 
-__all__ = ["discover", "read_images", "read_json", "read_jsonl", "read_ocr_pages", "read_records", "read_texts", "year_files"]
+__all__ = ["discover", "read_images", "read_json", "read_jsonl", "read_lines", "read_ocr_pages", "read_records", "read_texts", "year_files"]

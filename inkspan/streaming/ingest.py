@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -37,15 +36,22 @@ def run_available(stream: DataFrame, target: str, checkpoint: str, partition_by:
     (writer.partitionBy(*partition_by) if partition_by else writer).trigger(availableNow=True).start().awaitTermination()
 
 
-def ingest_all(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
-    """A table of files, passed through a stream with checkpoints into a new table."""
-    folder = shared_folder(spark)
+def file_stream(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+    """A table of files, or a single file, as a stream."""
     schema = spark.read.format(form).load(path).schema
     reader = spark.readStream.schema(schema).format(form)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
     # a stream's source is a folder: of a single file, the one that holds it
-    parent, _, name = path.rpartition("/")
-    stream = reader.option("pathGlobFilter", name).load(parent) if os.path.isfile(path) else reader.load(path)
-    run_available(stream, f"{folder}/table", f"{folder}/log")
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isFile():
+        parent, _, name = path.rpartition("/")
+        return reader.option("pathGlobFilter", name).load(parent)
+    return reader.load(path)
+
+
+def ingest_all(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+    """A table of files, passed through a stream with checkpoints into a new table."""
+    folder = shared_folder(spark)
+    run_available(file_stream(spark, path, form), f"{folder}/table", f"{folder}/log")
     return spark.read.parquet(f"{folder}/table")
 
 
@@ -54,30 +60,69 @@ def by_day(stream: DataFrame) -> DataFrame:
     return stream.withColumn("year_part", year_of()).withColumn("date_part", day_of())
 
 
-def upsert_batches(stream: DataFrame, target: str, checkpoint: str, key: str, order: str) -> None:
-    """Keeps one row for each key in ``target``: batches are merged with what is there, the first of equal keys by
-    ``order`` winning, into a new version; a repeated batch gives the same result."""
+def log_batches(stream: DataFrame, target: str, checkpoint: str) -> None:
+    """Appends each batch to ``target`` below its number. A batch that is repeated replaces itself, so nothing counts
+    twice; no batch reads or rewrites what is there."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def current(spark: SparkSession, target: str, key: str, order: str) -> DataFrame:
+    """One row for each key of a log of batches: the first by ``order``, combined within partitions before the shuffle."""
+    rows = spark.read.option("basePath", target).parquet(target).drop("batch")
+    return rows.groupBy(key).agg(F.min_by(F.struct("*"), order).alias("r")).select("r.*")
 
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        last = number - 1
-        old = spark.read.schema(batch.schema).parquet(f"{target}/v{last}") if last >= 0 else None
-        rows = batch if old is None else old.unionByName(batch)
-        best = rows.groupBy(key).agg(F.min_by(F.struct("*"), order).alias("r")).select("r.*")
-        best.write.mode("overwrite").parquet(f"{target}/v{number}")
 
-    stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def compact(spark: SparkSession, target: str, into: str, key: str, order: str) -> None:
+    """Writes the current rows of a log as batch 0 of a new one, for readers that would else go over many batches."""
+    current(spark, target, key, order).write.mode("overwrite").parquet(f"{into}/batch=0")
+
+
+def _marked(rows: DataFrame, time_col: str, late: str | None) -> DataFrame:
+    """With a watermark, if given; that needs times of a zone, the session's."""
+    return rows.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, late) if late else rows
 
 
 def hourly(stream: DataFrame, time_col: str = "ts", key: str = "event_type", late: str = "2 hours") -> DataFrame:
     """Counts by key and hour; rows later than the watermark are left out."""
-    counted = stream.withWatermark(time_col, late).groupBy(key, F.window(time_col, "1 hour").alias("w")).agg(F.count("*").alias("events"))
-    return counted.select(key, F.col("w.start").alias("start"), "events")
+    counted = _marked(stream, time_col, late).groupBy(key, F.window(time_col, "1 hour").alias("w")).agg(F.count("*").alias("events"))
+    return counted.select(key, F.col("w.start").cast(stream.schema[time_col].dataType).alias("start"), "events")
 
 
 def deduplicated(stream: DataFrame, key: str, time_col: str, within: str = "1 day") -> DataFrame:
     """The first row of each key within a span of event time; the state of older keys is dropped."""
-    return stream.withWatermark(time_col, within).dropDuplicatesWithinWatermark([key])
+    return _marked(stream, time_col, within).dropDuplicatesWithinWatermark([key])
+
+
+def sliding(df: DataFrame, time_col: str = "ts", key: str = "event_type", length: str = "1 hour", step: str = "15 minutes", late: str | None = None) -> DataFrame:
+    """Counts by key and overlapping windows, of a table or, with ``late``, of a stream."""
+    rows, kind = _marked(df, time_col, late), df.schema[time_col].dataType
+    return rows.groupBy(key, F.window(time_col, length, step).alias("w")).agg(F.count("*").alias("events")).select(key, F.col("w.start").cast(kind).alias("start"), "events")
+
+
+def sessions(df: DataFrame, time_col: str = "ts", key: str = "user_id", gap: str = "30 minutes", late: str | None = None) -> DataFrame:
+    """(key, start, end, events) of the sessions of each key: rows with less than ``gap`` between them."""
+    rows, kind = _marked(df, time_col, late), df.schema[time_col].dataType
+    found = rows.groupBy(key, F.session_window(time_col, gap).alias("w")).agg(F.count("*").alias("events"))
+    return found.select(key, F.col("w.start").cast(kind).alias("start"), F.col("w.end").cast(kind).alias("end"), "events")
+
+
+def joined_streams(left: DataFrame, right: DataFrame, key: str, time_col: str, within: str = "1 hour", late: str = "2 hours") -> DataFrame:
+    """Rows of two streams with the same key, the right one at most ``within`` later; state older than that is dropped."""
+    a, b = _marked(left, time_col, late).alias("a"), _marked(right, time_col, late).alias("b")
+    span = F.expr(f"b.`{time_col}` between a.`{time_col}` and a.`{time_col}` + interval {within}")
+    return a.join(b, (F.col(f"a.`{key}`") == F.col(f"b.`{key}`")) & span)
+
+
+def run_windows(spark: SparkSession, path: str, windows, form: str = "parquet") -> DataFrame:
+    """What a windowed query over a folder's stream has given when the stream is at its end: the windows that the
+    watermark has closed."""
+    folder = shared_folder(spark)
+    run_available(windows(file_stream(spark, path, form)), f"{folder}/table", f"{folder}/log")
+    return spark.read.parquet(f"{folder}/table")
 
 
 class Progress(StreamingQueryListener):

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from inkspan.session import ship_package
 from inkspan.text.classes import c, strip, text_of
 
 NO_TEXTS = "array<string>"
@@ -24,26 +26,36 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def segments(x, min_chars: int = 200) -> Column:
+def merged(text: str, min_chars: int = 200) -> list[str]:
     """Paragraphs joined by blank lines until a segment has min_chars; a short rest goes to the last segment."""
-    state = F.struct(F.lit(0).alias("no"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("of"))
+    out: list[list[str]] = []
+    held: list[str] = []
+    n = 0
+    for p in (x.strip() for x in re.split(r"\n{2,}", text)):
+        if not p:
+            continue
+        n += len(p) + (2 if held else 0)
+        held.append(p)
+        if n >= min_chars:
+            out.append(held)
+            held, n = [], 0
+    if held:
+        if out:
+            out[-1] += held
+        else:
+            out.append(held)
+    return ["\n\n".join(x) for x in out]
 
-    def step(s: Column, p: Column) -> Column:
-        # number of the open segment, its length, the segment of each paragraph so far
-        n = F.when(s["n"] == 0, F.length(p)).otherwise(s["n"] + 2 + F.length(p))
-        full = n >= min_chars
-        return F.struct((s["no"] + full.cast("int")).alias("no"), F.when(full, 0).otherwise(n).alias("n"), F.concat(s["of"], F.array(s["no"])).alias("of"))
 
-    def joined(paras: Column) -> Column:
-        def of(folded: Column) -> Column:
-            last = F.greatest(folded["no"] - 1, F.lit(0))
-            # where each segment's paragraphs begin: a rest that isn't full belongs to the last segment
-            pick = lambda k: F.transform(F.filter(F.arrays_zip(paras.alias("p"), folded["of"].alias("k")), lambda z: F.least(z["k"], last) == k), lambda z: z["p"])
-            return F.transform(F.sequence(F.lit(0), last), lambda k: F.array_join(pick(k), "\n\n"))
+def segments(x, min_chars: int = 200) -> Column:
+    """merged as an Arrow function: where a segment begins depends on all before it. Null gives no segments."""
+    ship_package(SparkSession.active())
 
-        return F.when(F.size(paras) == 0, F.array().cast(NO_TEXTS)).otherwise(let(F.aggregate(paras, state, step), of))
+    @F.pandas_udf(ArrayType(StringType()))
+    def cut(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: merged(t or "", min_chars))
 
-    return let(paragraphs(x), joined)
+    return cut(c(x))
 
 
 def keyword_score(x, keywords) -> Column:
@@ -69,23 +81,29 @@ def sentences(x) -> Column:
     return F.filter(F.transform(parts, strip), lambda s: s != "")
 
 
-def packed_sentences(x, limit: int = 400) -> Column:
+def packed(text: str, limit: int = 400) -> list[str]:
     """Sentences joined by spaces into groups; a group is closed once its sentences have more than limit characters."""
-    state = F.struct(F.array().cast(NO_TEXTS).alias("done"), F.array().cast(NO_TEXTS).alias("open"), F.lit(0).alias("n"))
+    out, held, n = [], [], 0
+    for t in text.replace(". ", ".|").split("|"):
+        t = t.strip()
+        if t:
+            held.append(t)
+            n += len(t)
+        if n > limit:
+            out.append(" ".join(held))
+            held, n = [], 0
+    return [*out, " ".join(held)] if held else out
 
-    def step(s: Column, t: Column) -> Column:
-        n = s["n"] + F.length(t)
-        now = F.concat(s["open"], F.array(t))
-        full = n > limit
-        return F.struct(
-            F.when(full, F.concat(s["done"], F.array(F.array_join(now, " ")))).otherwise(s["done"]).alias("done"),
-            F.when(full, F.array().cast(NO_TEXTS)).otherwise(now).alias("open"), F.when(full, 0).otherwise(n).alias("n"),
-        )
 
-    def finish(s: Column) -> Column:
-        return F.when(F.size(s["open"]) == 0, s["done"]).otherwise(F.concat(s["done"], F.array(F.array_join(s["open"], " "))))
+def packed_sentences(x, limit: int = 400) -> Column:
+    """packed as an Arrow function. Null gives no groups."""
+    ship_package(SparkSession.active())
 
-    return F.aggregate(sentences(x), state, step, finish)
+    @F.pandas_udf(ArrayType(StringType()))
+    def cut(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: packed(t or "", limit))
+
+    return cut(c(x))
 
 
 def cut_chunks(text: str, size: int = 1500, lossless: bool = True) -> list[str]:
@@ -105,6 +123,8 @@ def cut_chunks(text: str, size: int = 1500, lossless: bool = True) -> list[str]:
 def chunks(x, size: int = 1500, lossless: bool = True) -> Column:
     """cut_chunks as an Arrow function: where a chunk begins depends on all before it. Null gives no chunks."""
 
+    ship_package(SparkSession.active())
+
     @F.pandas_udf(ArrayType(StringType()))
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from inkspan import config, functions, models, sinks
 from inkspan.operators import articles, corpus, records
-from inkspan.sources import files, listing
+from inkspan.sources import files, listing, pages
 from inkspan.streaming import ingest
 
 
@@ -166,8 +166,10 @@ def test_stream_upsert_keeps_first(spark, tmp_path):
     schema = spark.createDataFrame([], "record_id string, seq int").schema
     for k in range(2):
         (src / f"{k}.json").write_text("".join(json.dumps({"record_id": r, "seq": 10 * k + n}) + "\n" for n, r in enumerate(("a", "b"))))
-        ingest.upsert_batches(ingest.landing(spark, str(src), schema), f"{tmp_path}/t", f"{tmp_path}/log", "record_id", "seq")
-    assert {tuple(r) for r in spark.read.parquet(f"{tmp_path}/t/v1").collect()} == {("a", 0), ("b", 1)}
+        ingest.log_batches(ingest.landing(spark, str(src), schema), f"{tmp_path}/t", f"{tmp_path}/log")
+    assert {tuple(r) for r in ingest.current(spark, f"{tmp_path}/t", "record_id", "seq").collect()} == {("a", 0), ("b", 1)}
+    ingest.compact(spark, f"{tmp_path}/t", f"{tmp_path}/c", "record_id", "seq")
+    assert spark.read.parquet(f"{tmp_path}/c").count() == 2 and ingest.current(spark, f"{tmp_path}/c", "record_id", "seq").count() == 2
 
 
 def test_sql_functions(spark):
@@ -214,3 +216,65 @@ def test_export_summary(spark):
     qa = spark.createDataFrame([(1, "Q?", "A" * 100, "wwi", "document", "high", "x llm")], "id int, question string, answer string, period string, question_type string, confidence string, notes string")
     text = sinks.export_summary(articles.export_counts(qa), qa, "id")
     assert "source       llm" in text and "A: " + "A" * 80 in text and "A" * 81 not in text
+
+
+def test_issue_is_rendered_in_eighty_columns(spark):
+    row = {"newspaper": None, "issue_date": None, "date_start": "1917-05-31T00", "collection": "C", "page_count": None, "char_count": 1234567, "source_url": None, "raw_text": "Word " * 200 + ". " + "End."}
+    schema = "newspaper string, issue_date string, date_start string, collection string, page_count int, char_count int, source_url string, raw_text string"
+    df = spark.createDataFrame([tuple(row.values())], schema)
+    got = df.select(records.render_issue(True).alias("full"), records.render_issue().alias("short")).first()
+    assert got.full == records.rendered(row, True) and got.short == records.rendered(row, False)
+    lines = got.full.split("\n")
+    assert max(map(len, lines)) == 80 and lines[0] == "=" * 80 and lines[1] == "  UNKNOWN NEWSPAPER" and lines[2] == "  1917-05-31"
+    assert "  Length      : 1,234,567 characters" in lines and "  Pages       : ?" in lines
+    assert "".join(got.full.split("FULL TEXT")[1].split()).rstrip("=") == "".join(row["raw_text"].split())
+    assert "".join(got.short.split("chars)")[1].split("[...")[0].split()) == "".join(row["raw_text"][:600].split())
+
+
+def test_pages_are_downloaded_once(spark, tmp_path):
+    import json as j
+
+    src, out = tmp_path / "src", tmp_path / "out"
+    src.mkdir()
+    (src / "p1").mkdir()
+    image = lambda name: {"images": [{"resource": {"@id": f"file://{src}/full/{name}", "service": None}}]}
+    (src / "full").mkdir()
+    for k in (1, 2):
+        (src / "full" / f"{k}.jpg").write_bytes(bytes([k]))
+    rows = [{"ark_id": "a", "sequences": [{"canvases": [image("1.jpg"), image("2.jpg"), image("gone.jpg")]}]}, {"ark_id": "b", "sequences": None}]
+    schema = "ark_id string, sequences array<struct<canvases array<struct<images array<struct<resource struct<`@id` string, service struct<`@id` string>>>>>>>>"
+    df = spark.read.schema(schema).json(spark.sparkContext.parallelize([j.dumps(r) for r in rows]))
+    first = [tuple(r) for r in pages.download_pages(df, str(out)).collect()]
+    assert first == [("a", 3, 2, False)] and (out / "a" / ".done").read_text() == "2 pages\n"
+    assert (out / "a" / "page_0002.jpg").read_bytes() == b"\x02" and not (out / "a" / "page_0003.jpg").exists()
+    assert [tuple(r) for r in pages.download_pages(df, str(out)).collect()] == [("a", 3, 0, True)]
+
+
+def test_stream_windows_drop_late_rows(spark, tmp_path):
+    """Rows later than the watermark are left out; streams are joined and cleared of repetitions within it."""
+    src = tmp_path / "in"
+    src.mkdir()
+    schema = spark.createDataFrame([], "event_id int, event_type string, user_id int, ts timestamp").schema
+    batches = [[(1, "a", 1, "2024-01-01T00:10:00"), (2, "a", 1, "2024-01-01T00:20:00"), (2, "a", 1, "2024-01-01T00:20:00")], [(3, "a", 2, "2024-01-01T09:00:00")], [(4, "a", 1, "2024-01-01T00:30:00"), (5, "a", 2, "2024-01-01T14:00:00")], [(6, "a", 9, "2024-01-02T14:00:00")]]
+    for name, make in {"hourly": ingest.hourly, "dedupe": lambda s: ingest.deduplicated(s, "event_id", "ts"), "joined": lambda s: ingest.joined_streams(s, s.select("event_id", "ts"), "event_id", "ts").select("a.event_id")}.items():
+        for f in src.iterdir():
+            f.unlink()
+        for k, rows in enumerate(batches):
+            (src / f"{k}.json").write_text("".join(json.dumps(dict(zip(schema.names, r, strict=True))) + "\n" for r in rows))
+            ingest.run_available(make(ingest.landing(spark, str(src), schema, files=1)), f"{tmp_path}/{name}", f"{tmp_path}/{name}-log")
+        got = spark.read.parquet(f"{tmp_path}/{name}").collect()
+        if name == "hourly":
+            assert sorted((r.start.hour, r.events) for r in got) == [(0, 3), (9, 1), (14, 1)]
+        if name == "dedupe":
+            assert sorted(r.event_id for r in got) in ([1, 2, 3, 4, 5, 6], [1, 2, 3, 5, 6])
+        if name == "joined":
+            assert sorted({r.event_id for r in got}) >= [1, 2, 3]
+
+
+def test_envelopes_without_records(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"generated_at": "x", "newspaper": "N", "records": null}')
+    (tmp_path / "b.json").write_text('[{"id": "1", "newspaper": "N"}, {"id": "2"}]')
+    (tmp_path / "c.json").write_text('{"generated_at": "y", "records": [{"id": "3"}]}')
+    t = lambda ddl: spark.createDataFrame([], ddl).schema
+    got = files.read_records(spark, str(tmp_path), t("id string, newspaper string"), t("generated_at string"))
+    assert sorted((r.id, r.generated_at) for r in got.collect()) == [("1", None), ("2", None), ("3", "y")]

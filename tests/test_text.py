@@ -1,9 +1,14 @@
+import random
+import random
 import re
 
+import pytest
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from inkspan import config
 from inkspan.config import JUNK_CHARS
 from inkspan.operators import quality, vocabulary
 from inkspan.plans import catalog, texts
@@ -120,11 +125,47 @@ def test_spell_corrections_are_whole(spark, tmp_path):
     wrong = [w for w in words if w not in vocab and not w[0].isupper() and not w.isascii()]
     want = {}
     for w in (re.sub("^[^a-zA-Z]+|[^a-zA-Z]+$", "", w) for w in wrong):
-        near = [v for v in vocab if plain_edits(w, v) == 1]
+        near = [v for v in {*vocab, *config.WHITELIST} if plain_edits(w, v) == 1]
         if len(w) > 2 and near:
             want[w] = min(near, key=lambda v: (-seen.get(v, 0), v))
     assert {"cau∫ed", "plann©d", "la∫t", "naïve", "mi😀l"} == set(want)
-    assert {r.word: r.correction for r in catalog.QUERIES["spell_corrections_all"](spark, str(tmp_path)).collect()} == want
+    assert {r.word: r.correction for r in catalog.QUERIES["spell_corrections"](spark, str(tmp_path)).collect()} == want
+
+
+def edits_with_swaps(a, b):
+    """Edits of one word to the other where a swap of neighbours is one, each letter being edited once or its result again."""
+    swaps = {a[:k] + a[k + 1] + a[k] + a[k + 2 :] for k in range(len(a) - 1)}
+    return min([plain_edits(a, b), *(1 + min(plain_edits(s, b), 1 if b in {s[:k] + s[k + 1] + s[k] + s[k + 2 :] for k in range(len(s) - 1)} else 9) for s in swaps)])
+
+
+def test_spelling_within_two_edits(spark):
+    """Against brute force over all pairs of words; words with a candidate at one edit don't look further."""
+    rng = random.Random(3)
+    vocab = sorted({"".join(rng.choice("abcd") for _ in range(rng.randint(3, 7))) for _ in range(60)})
+    words = sorted({"".join(rng.choice("abcd∫") for _ in range(rng.randint(3, 7))) for _ in range(80)} - set(vocab))
+    cores = {w for w in (re.sub("^[^a-zA-Z]+|[^a-zA-Z]+$", "", x) for x in words) if len(w) > 2 and w not in vocab}
+    texts = spark.createDataFrame([(1, " ".join(words))], "id int, text string")
+    v = spark.createDataFrame([(w,) for w in vocab], "word string")
+    zipf = spark.createDataFrame([(w, float(len(w) % 3)) for w in vocab], "word string, zipf double")
+    for distance in (1, 2):
+        want = {}
+        for w in cores:
+            near = [(edits_with_swaps(w, c), -float(len(c) % 3), c) for c in vocab if edits_with_swaps(w, c) <= distance]
+            if near:
+                want[w] = min(near)[2]
+        got = {r.word: r.correction for r in vocabulary.corrections(texts, "text", v, zipf, threshold=9.0, distance=distance).collect()}
+        assert got == want and got
+    with pytest.raises(ValueError):
+        vocabulary.corrections(texts, "text", v, zipf, distance=3)
+
+
+def test_corrected_texts_keep_rows(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "hause  and\thause"), (1, "mil hause"), (2, None), (3, "")], "id int, text string")
+    table = spark.createDataFrame([("hause", "house"), ("mil", "mill")], "word string, correction string")
+    want = [(1, "house  and\thouse", 2), (1, "mill house", 2), (2, "", 0), (3, "", 0)]
+    assert sorted(tuple(r) for r in vocabulary.corrected_texts(df, "id", "text", table).collect()) == want
+    monkeypatch.setattr(vocabulary, "BROADCAST_WORDS", 1)
+    assert sorted(tuple(r) for r in vocabulary.corrected_texts(df, "id", "text", table).collect()) == want
 
 
 def test_oov_counts_all_tokens(spark):
