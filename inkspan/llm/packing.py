@@ -35,11 +35,13 @@ class Plan:
     starts: dict[int, np.ndarray]
     bins: dict[int, np.ndarray]
     each: dict[int, np.ndarray]
+    lengths: dict[int, np.ndarray]  # with which the bins were opened
     n_bins: int
 
-    def bin_of(self, size: int, rank: int) -> int:
+    def bin_of(self, size: int, rank: int) -> tuple[int, int]:
+        """The bin of an item, and the length with which that was opened."""
         k = int(np.searchsorted(self.starts[size], rank, "right")) - 1
-        return int(self.bins[size][k] + (rank - self.starts[size][k]) // self.each[size][k])
+        return int(self.bins[size][k] + (rank - self.starts[size][k]) // self.each[size][k]), int(self.lengths[size][k])
 
 
 def _fill(seed: int, length: int, have: dict[int, int], sizes: list[int]) -> list[int]:
@@ -87,7 +89,7 @@ def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY, lengths: tupl
     have = {s: n for s, n in histogram.items() if n > 0}
     sizes = sorted(have)
     given = dict.fromkeys(have, 0)
-    rows: dict[int, list[tuple[int, int, int]]] = {s: [] for s in have}
+    rows: dict[int, list[tuple[int, int, int, int]]] = {s: [] for s in have}
     bins = 0
     while sizes:
         seed = sizes[-1]
@@ -101,18 +103,19 @@ def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY, lengths: tupl
             uses[s] = uses.get(s, 0) + 1
         times = min(have[s] // u for s, u in uses.items())
         for s, u in uses.items():
-            rows[s].append((given[s], bins, u))
+            rows[s].append((given[s], bins, u, allowed[best]))
             given[s] += times * u
             have[s] -= times * u
             if not have[s]:
                 sizes.pop(bisect.bisect_left(sizes, s))
         bins += times
     column = lambda s, k: np.array([r[k] for r in rows[s]], dtype=np.int64)
-    return Plan(capacity, *({s: column(s, k) for s in rows} for k in range(3)), bins)
+    return Plan(capacity, *({s: column(s, k) for s in rows} for k in range(4)), bins)
 
 
 def pack(sized: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY, lengths: tuple[int, ...] = LENGTHS) -> DataFrame:
-    """(item, piece_no, start, size, bin): every item, or its pieces where it exceeds the capacity, with its bin.
+    """(item, piece_no, start, size, bin, opened): every item, or its pieces where it exceeds the capacity, with its bin
+    and the permitted length with which that was opened.
 
     start and size count tokens. Items of null or no size take no room: they have one piece and a null bin. Rows with
     the same id are items of their own. Only counts by size reach the driver; ranks are counted within partitions and
@@ -139,15 +142,16 @@ def pack(sized: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY,
         def go(cols):
             if not cols:
                 return []
-            return [(i, p, s, z, plan.bin_of(z, r) if z else None) for i, p, s, z, r in zip(*cols, strict=True)]
+            return [(i, p, s, z, *(plan.bin_of(z, r) if z else (None, None))) for i, p, s, z, r in zip(*cols, strict=True)]
 
         return go
 
-    return map_partitions(ranked, ["item", "piece_no", "start", "size", "rank"], make, StructType([*fields, *struct("bin bigint").fields]))
+    return map_partitions(ranked, ["item", "piece_no", "start", "size", "rank"], make, StructType([*fields, *struct("bin bigint, opened int").fields]))
 
 
 def bins_of(assigned: DataFrame, lengths: tuple[int, ...] = LENGTHS) -> DataFrame:
-    """(bin, items, used, capacity, unused): every bin, downsized to the least permitted length for its contents."""
-    used = assigned.where("bin is not null").groupBy("bin").agg(F.count("*").alias("items"), F.sum("size").alias("used"))
+    """(bin, items, used, opened, capacity, unused): every bin, downsized from the length it was opened with to the least
+    permitted one for its contents."""
+    used = assigned.where("bin is not null").groupBy("bin").agg(F.count("*").alias("items"), F.sum("size").alias("used"), F.max("opened").alias("opened"))
     fit = F.coalesce(*[F.when(F.col("used") <= x, F.lit(x)) for x in sorted(lengths)])
     return used.withColumn("capacity", fit).withColumn("unused", F.col("capacity") - F.col("used"))

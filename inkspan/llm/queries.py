@@ -23,6 +23,15 @@ def p1_statistics(spark: SparkSession, d: str) -> DataFrame:
     return of[0].unionByName(of[1])
 
 
+P1_COUNTS = ("n_chars", "n_words", "n_lines", "n_paragraphs", "mean_word_length", "digit_ratio", "dup_line_share")
+
+
+def p1_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Those of the statistics of every issue's text that SQL can say, ratios in whole ten-thousandths."""
+    found = quality.document_statistics(table(spark, d, "issues", spread=True), "seq", "raw_text", common=frozenset())
+    return found.select("seq", *[F.floor(F.col(c) * 10_000 + 0.5).cast("bigint").alias(c) if c.endswith(("ratio", "share", "length")) else F.col(c) for c in P1_COUNTS])
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Defective question and answer pairs with their defect."""
     found = pairs.pair_defects(table(spark, d, "test_queries"), "qa_id", "question", "answer")
@@ -97,18 +106,27 @@ def p5_cleaned(spark: SparkSession, d: str) -> DataFrame:
     return repeats.without_lines(issues, "seq", "raw_text", repeats.repeated_lines(issues, *P5))
 
 
-def _p6(spark: SparkSession, d: str) -> DataFrame:
+def _p6(spark: SparkSession, d: str, **how) -> DataFrame:
     """Both corpora with their slices: table, id, source, language, domain, tokens."""
     i, t = table(spark, d, "issues", spread=True), table(spark, d, "documents", spread=True)
     spoken = F.when(F.size("language") > 0, F.array_join(F.transform("language", tokens.language_code), "+")).otherwise(F.lit("und"))
     a = i.select(F.lit("issues").alias("corpus"), F.col("seq").alias("id"), F.col("newspaper").alias("source"), F.coalesce(spoken, F.lit("und")).alias("language"), F.col("collection").alias("domain"), F.col("raw_text").alias("text"))
     b = t.select(F.lit("documents").alias("corpus"), F.col("doc_id").alias("id"), "source", tokens.language_code(F.col("lang")).alias("language"), "domain", "text")
-    return tokens.token_counts(a.unionByName(b), ["corpus", "id", "source", "language", "domain"], "text")
+    return tokens.token_counts(a.unionByName(b), ["corpus", "id", "source", "language", "domain"], "text", **how)
+
+
+def _p6_slices(counted: DataFrame) -> DataFrame:
+    return tokens.token_budget(counted.withColumn("source", F.concat("corpus", F.lit("/"), F.coalesce("source", F.lit("unknown")))))
 
 
 def p6_budget(spark: SparkSession, d: str) -> DataFrame:
     """Tokens by newspaper or source, by language, by collection or domain, and by all three."""
-    return tokens.token_budget(_p6(spark, d).withColumn("source", F.concat("corpus", F.lit("/"), F.coalesce("source", F.lit("unknown")))))
+    return _p6_slices(_p6(spark, d))
+
+
+def p6_unigram(spark: SparkSession, d: str) -> DataFrame:
+    """The same slices by count-only Viterbi over the pieces of a supplied vocabulary, taken as a unigram one."""
+    return _p6_slices(_p6(spark, d, vocabulary=tokens.PIECES, best_path=True))
 
 
 def p6_tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -160,8 +178,8 @@ def p9_share(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        p1_found, p1_statistics, p2_found, p3_found, p3_repaired, p4_found, p4_pieces, p4_files, p4_file_levels, p5_found, p5_sequences, p5_cleaned,
-        p6_budget, p6_tokens, p7_assignment, p7_bins, p8_found, p8_items, p9_found, p9_share,
+        p1_found, p1_statistics, p1_counts, p2_found, p3_found, p3_repaired, p4_found, p4_pieces, p4_files, p4_file_levels, p5_found, p5_sequences, p5_cleaned,
+        p6_budget, p6_unigram, p6_tokens, p7_assignment, p7_bins, p8_found, p8_items, p9_found, p9_share,
     )
 }
 
@@ -175,6 +193,15 @@ def _longest(pattern: str) -> str:
 
 
 _AT = {"page": rf"(?m)^{_SPACE}*--- PAGE BREAK ---{_SPACE}*$", "paragraph": rf"\n(?:{_SPACE}*\n)+", "line": r"\n", "word": rf"{_BLANK}+"}
+_STRIPPED = f"regexp_replace(x, '^{_BLANK}+|{_BLANK}+\\z', '', 'g')"
+_TEN = "cast(floor(case when ({1}) = 0 then 0.0 else ({0})::double / ({1}) end * 10000 + 0.5) as bigint)"
+_WORDS = r"regexp_extract_all(t, '[\p{L}\p{Nl}\p{No}]+')"
+_DENSE = f"length(regexp_replace(t, '{_BLANK}+', '', 'g'))"
 SQL: dict[str, str] = {
+    "p1_counts": f"with l as (select seq, length(coalesce(raw_text, '')) as n_chars, case when regexp_replace(coalesce(raw_text, ''), '{_BLANK}+', '', 'g') = '' then '' else raw_text end as t from issues), "
+    f"f as (select *, list_filter(list_transform(string_split(t, chr(10)), lambda x: {_STRIPPED}), lambda x: x <> '') as full_lines, {_WORDS} as words from l) "
+    f"select seq, n_chars, len(words) as n_words, len(full_lines) as n_lines, len(list_filter(list_transform(string_split_regex(t, '\\n{_BLANK}*\\n'), lambda x: {_STRIPPED}), lambda x: x <> '')) as n_paragraphs, "
+    + _TEN.format("list_sum(list_transform(words, lambda w: length(w)))", "len(words)") + " as mean_word_length, " + _TEN.format("len(regexp_extract_all(t, '[0-9]'))", _DENSE) + " as digit_ratio, "
+    + _TEN.format("len(full_lines) - len(list_distinct(full_lines))", "len(full_lines)") + " as dup_line_share from f",
     "p4_found": "select seq, case " + " ".join(f"when {_longest(p)} <= 4000 then '{k}'" for k, p in _AT.items()) + " else 'none' end as boundary from issues where length(raw_text) > 4000",
 }

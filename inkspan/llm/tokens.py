@@ -21,11 +21,13 @@ from inkspan.llm.arrow import kept_fields, map_partitions, struct
 
 #: Where the public vocabularies are; always a parameter.
 TOKENIZERS = "/opt/tokenizers"
-DEFAULT = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+DEFAULT, PIECES = f"{TOKENIZERS}/byte_bpe_50k.tiktoken", f"{TOKENIZERS}/piece_bpe_32k.model"
 #: Fixed value: how the byte-pair vocabularies cut text beforehand.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Segments that a worker remembers at most, and the length from which on they aren't.
 REMEMBERED, LONGEST = 400_000, 64
+#: Places tried for a node of the trie from which on the search begins further on next time.
+TRIES = 64
 
 
 class DoubleArrayTrie:
@@ -59,6 +61,7 @@ class DoubleArrayTrie:
 
     def _place(self, codes: list[int]) -> int:
         b = max(1, self._free - codes[0])
+        tries = 0
         while True:
             need = b + 258
             if need > len(self.check):
@@ -67,10 +70,14 @@ class DoubleArrayTrie:
                 self.check.extend([-1] * more)
                 self.value.extend([-1] * more)
             if all(self.check[b + c] < 0 for c in codes):
-                while self._free < len(self.check) and self.check[self._free] >= 0:
-                    self._free += 1
-                return b
+                break
             b += 1
+            tries += 1
+        if tries > TRIES:
+            self._free = b  # crowded: the few holes before aren't looked at again
+        while self._free < len(self.check) and self.check[self._free] >= 0:
+            self._free += 1
+        return b
 
     def prefixes(self, data: bytes, at: int) -> list[tuple[int, int]]:
         """(end, key number) of all keys that data has at ``at``."""
@@ -143,9 +150,12 @@ class Vocabulary:
     data: bytes
 
     @classmethod
-    def load(cls, path: str) -> Vocabulary:
+    def load(cls, path: str, best_path: bool = False) -> Vocabulary:
+        """best_path: the pieces of a byte-pair vocabulary as a unigram one, by their ranks (see ranked)."""
         with open(path, "rb") as f:
             data = f.read()
+        if best_path:
+            return cls("ranked", data)
         if path.endswith(".tiktoken"):
             return cls("ranks", data)
         if path.endswith(".json"):
@@ -156,6 +166,13 @@ class Vocabulary:
         return Counter(self)
 
 
+def ranked(pieces: list[str]) -> list[tuple[str, float]]:
+    """Pieces in order of rank with log probabilities by Zipf's law: the pieces of a byte-pair vocabulary are ranked by
+    how often their merge was the commonest, and have no probabilities of their own."""
+    total = math.log(sum(1 / k for k in range(1, len(pieces) + 1))) if pieces else 0.0
+    return [(p, -math.log(k) - total) for k, p in enumerate(pieces, 1)]
+
+
 class Counter:
     """Counts tokens of texts. Unigram counts are remembered by segment; byte-pair merges reach across words (runs of
     spaces, digits and marks), so their libraries get whole texts."""
@@ -182,7 +199,10 @@ class Counter:
             model = pb.ModelProto()
             model.ParseFromString(vocabulary.data)
             sp = SentencePieceProcessor(model_proto=vocabulary.data)
-            if model.trainer_spec.model_type == 1:
+            if vocabulary.kind == "ranked":
+                self.unigram = Unigram(ranked([p.piece for p in model.pieces if p.type in (1, 4)]), model.trainer_spec.byte_fallback, prefix=model.normalizer_spec.add_dummy_prefix)
+                self.prepare = lambda t: t
+            elif model.trainer_spec.model_type == 1:
                 mapped = bool(model.normalizer_spec.precompiled_charsmap)
                 self.prepare = sp.normalize if mapped else lambda t: t
                 kept = [(p.piece, p.score) for p in model.pieces if p.type in (1, 4)]
@@ -219,9 +239,12 @@ def _counter(shared) -> Counter:
     return _OPEN["counter"]
 
 
-def token_counts(df: DataFrame, keep: list[str], text_col: str, vocabulary: str = DEFAULT) -> DataFrame:
-    """The columns ``keep`` and ``tokens bigint`` of every row. Null and empty texts have 0. No shuffle."""
-    shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary))
+def token_counts(df: DataFrame, keep: list[str], text_col: str, vocabulary: str = DEFAULT, best_path: bool = False) -> DataFrame:
+    """The columns ``keep`` and ``tokens bigint`` of every row. Null and empty texts have 0. No shuffle.
+
+    best_path: counted by Viterbi over the pieces of a file of pieces that is no unigram vocabulary, which only estimates
+    what its own library counts."""
+    shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary, best_path))
     fields = kept_fields(df, keep, "tokens bigint")
 
     def make():

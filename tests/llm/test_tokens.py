@@ -61,7 +61,8 @@ def assigned_bins(plan, histogram):
     bins: dict[int, int] = {}
     for size, n in histogram.items():
         for rank in range(n):
-            b = plan.bin_of(size, rank)
+            b, opened = plan.bin_of(size, rank)
+            assert size <= opened in plan.lengths[size]
             bins[b] = bins.get(b, 0) + size
     return bins
 
@@ -100,6 +101,15 @@ def test_pack_frames(spark):
         if r.bin is not None:
             used[r.bin] = used.get(r.bin, 0) + r.size
     assert max(used.values()) <= 2048 and len(used) <= 11
+    assert all(r.opened in packing.LENGTHS and r.opened >= used[r.bin] for r in got if r.bin is not None)
     bins = packing.bins_of(packing.pack(df, "bin", "size")).collect()
     assert {r.bin: r.used for r in bins} == used and all(r.capacity >= r.used for r in bins)
     assert packing.pack(df.where("false"), "bin", "size").count() == 0
+
+
+def test_best_path_over_ranked_pieces(spark, sf):
+    """The estimate of a byte-pair vocabulary's counts: near what its own library counts over a corpus, not in each text."""
+    df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    rows = [{r.doc_id: r.tokens for r in tokens.token_counts(df, ["doc_id"], "text", tokens.PIECES, best_path=b).collect()} for b in (False, True)]
+    own, estimate = (sum(r.values()) for r in rows)
+    assert rows[0].keys() == rows[1].keys() and abs(estimate / own - 1) < 0.1
