@@ -98,6 +98,9 @@ class Passages:
     texts: list[str]
     starts: list[list[int]]  # of each passage's words, in letters
     ends: list[list[int]]
+    # numbers of each of these words among all, marks that stand alone included: of the first mark before it, and the last after it
+    firsts: list[list[int]]
+    lasts: list[list[int]]
     least: list[int]  # letters of the shortest run of WORDS words; 0: fewer words
     keys: np.ndarray
     first: np.ndarray
@@ -111,14 +114,20 @@ class Passages:
 
     @classmethod
     def build(cls, rows: list[tuple], words: int = WORDS) -> Passages:
-        ids, texts, starts, ends, least, hs, ps, at = [], [], [], [], [], [], [], []
+        ids, texts, starts, ends, firsts, lasts, least, hs, ps, at = [], [], [], [], [], [], [], [], [], []
         for key, text in rows:
-            parts = [x for w in (text or "").split() if (x := letters(w))]
-            if len(parts) < words:
+            tokens = (text or "").split()
+            found = [(k, x) for k, w in enumerate(tokens) if (x := letters(w))]
+            if not found or len(tokens) < words:
                 continue
+            no, parts = np.array([k for k, _ in found]), [x for _, x in found]
+            lo, hi = np.concatenate([[0], no[:-1] + 1]), np.concatenate([no[1:] - 1, [len(tokens) - 1]])
             data = "".join(parts)
             e = np.cumsum([len(x) for x in parts])
             b = e - [len(x) for x in parts]
+            # from each word on, to the first with which there are so many
+            last = np.searchsorted(hi, lo + words - 1)
+            last = last[last < len(no)]
             h = qgrams(data, 1)
             hs.append(h)
             ps.append(np.full(len(h), len(ids), np.int32))
@@ -127,7 +136,9 @@ class Passages:
             texts.append(data)
             starts.append(b.tolist())
             ends.append(e.tolist())
-            least.append(int((e[words - 1 :] - b[: len(e) - words + 1]).min()))
+            firsts.append(lo.tolist())
+            lasts.append(hi.tolist())
+            least.append(int((e[last] - b[: len(last)]).min()))
         h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
         order = np.argsort(h, kind="stable")
         keys, first, count = np.unique(h[order], return_index=True, return_counts=True)
@@ -137,7 +148,7 @@ class Passages:
         gap = "\1" * _PAD
         codes, sizes = _codes(gap + "".join(t + gap for t in texts)), np.array([len(t) for t in texts], dtype=np.int64)
         offsets = _PAD + np.concatenate([[0], np.cumsum(sizes + _PAD)[:-1]]).astype(np.int64) if texts else sizes
-        return cls(ids, texts, starts, ends, least, keys, first, count, np.concatenate(ps)[order] if hs else none, np.concatenate(at)[order] if hs else none, present, codes, offsets, sizes)
+        return cls(ids, texts, starts, ends, firsts, lasts, least, keys, first, count, np.concatenate(ps)[order] if hs else none, np.concatenate(at)[order] if hs else none, present, codes, offsets, sizes)
 
     def candidates(self, data: str, starts: np.ndarray) -> list[tuple[int, int, int]]:
         """(passage, place in it, place in data) of one hit of each run of hits on a diagonal, in all regions that meet
@@ -199,11 +210,11 @@ class Passages:
         return [self._words(int(k), int(v), lo, hi, words) if ok else None for k, v, lo, hi, ok in zip(p, x, left.T.tolist(), right.T.tolist(), enough, strict=True)]
 
     def _words(self, k: int, x: int, left: list[int], right: list[int], words: int) -> tuple[int, int] | None:
-        starts, ends = self.starts[k], self.ends[k]
+        starts, ends, lo, hi = self.starts[k], self.ends[k], self.firsts[k], self.lasts[k]
         best = None
         for e in range(EDITS + 1):
             i, j = self._first(left, e, starts, ends, x), self._last(right, EDITS - e, starts, ends, x + Q)
-            if j - i + 1 >= words and (best is None or j - i > best[1] - best[0]):
+            if i <= j < len(hi) and hi[j] - lo[i] + 1 >= words and (best is None or hi[j] - lo[i] > hi[best[1]] - lo[best[0]]):
                 best = (i, j)
         return best
 
@@ -310,7 +321,8 @@ def _longest(parts: list[tuple[int, int]]) -> tuple[int, int]:
 def find_leaks(df: DataFrame, id_col: str, text_col: str, passages: DataFrame, item_col: str, passage_col: str, words: int = WORDS) -> DataFrame:
     """(doc, item_id, words, passage_words, passage_start, passage_end): each document and item of which at least
     ``words`` consecutive words stand in it with at most EDITS edits; the longest such part of each pair, longer where
-    such parts overlap. Places are letters of the passage.
+    such parts overlap. Places are letters of the passage; marks that stand alone within a part or beside it count as words
+    of it, since what a document makes of marks is disregarded.
 
     Null or short texts on either side have no row; repeated documents and items each have theirs. The passages are
     broadcast in blocks of bounded size; documents are read once for each block and never shuffled. A document's rows
@@ -349,7 +361,8 @@ def find_leaks(df: DataFrame, id_col: str, text_col: str, passages: DataFrame, i
                 out = []
                 for (d, p), parts in found.items():
                     i, j = _longest(parts)
-                    out.append((keys[d], index.ids[p], j - i + 1, len(index.ends[p]), index.starts[p][i], index.ends[p][j]))
+                    lo, hi = index.firsts[p], index.lasts[p]
+                    out.append((keys[d], index.ids[p], hi[j] - lo[i] + 1, hi[-1] + 1, index.starts[p][i], index.ends[p][j]))
                 return out
 
             return go
