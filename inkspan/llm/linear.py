@@ -71,7 +71,8 @@ class Rows:
         column = np.full(MASK + 1, -1, np.int32)
         column[active] = np.arange(len(active))
         kept = column[flat] >= 0
-        flat, row = column[flat[kept]], row[kept]
+        # as wide as bincount takes them, which else widens them in every round
+        flat, row = column[flat[kept]].astype(np.intp), row[kept].astype(np.intp)
         weight = weight / max(weight.sum(), 1e-12)
         w, m, v = np.zeros(len(active)), np.zeros(len(active)), np.zeros(len(active))
         for t in range(1, rounds + 1):
