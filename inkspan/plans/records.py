@@ -357,3 +357,21 @@ def discovered_files(spark: SparkSession, d: str) -> DataFrame:
     sinks.write_texts(marks, "ark_id", "t", folder)
     found = files.discover(spark, folder, r"\.txt$")
     return found.agg(F.count("*").alias("files"), F.count_if(F.col("path").rlike(r"0\.txt$")).alias("ending_in_0"))
+
+
+@query("select period, count(*) as articles, sum(war_segments)::bigint as segments from articles where period in ('wwi', 'wwii') group by 1")
+def article_files_period(spark: SparkSession, d: str) -> DataFrame:
+    """Articles of the files of some periods; others aren't opened, since the period is a folder."""
+    path = f"{ingest.shared_folder(spark)}/articles"
+    sinks.write_articles(table(spark, d, "articles"), path)
+    found = spark.read.parquet(path).where(F.col("period_part").isin("wwi", "wwii"))
+    return found.groupBy(F.col("period_part").alias("period")).agg(F.count("*").alias("articles"), F.sum("war_segments").alias("segments"))
+
+
+@query("select coalesce(newspaper, 'unknown') as newspaper, count(*) as issues from issues group by 1")
+def report_file(spark: SparkSession, d: str) -> DataFrame:
+    """Counts by newspaper through a report, one indented JSON file."""
+    counts = records.count_by_newspaper(table(spark, d, "issues"))
+    path = f"{ingest.shared_folder(spark)}/report.json"
+    sinks.write_report(counts, path)
+    return files.read_json(spark, path, counts.schema)

@@ -129,6 +129,15 @@ def cer_wer(spark: SparkSession, d: str) -> DataFrame:
     return stages.select("doc_id", "s.stage", quality.cer("s.t", "reference").alias("cer"), quality.wer("s.t", "reference").alias("wer"))
 
 
+@query()
+def texts_evaluated(spark: SparkSession, d: str) -> DataFrame:
+    """All documents with their metrics, raw and cleaned, and against the text of the issue they name."""
+    docs = table(spark, d, "documents", spread=True).select("doc_id", "ark_id", "text")
+    issues = table(spark, d, "issues", spread=True).where("raw_text <> ''").groupBy("ark_id").agg(F.min_by("raw_text", "seq").alias("text"))
+    truth = docs.select("doc_id", "ark_id").join(issues, "ark_id").select("doc_id", "text")
+    return quality.evaluate(docs.select("doc_id", "text"), truth, "doc_id", docs.select("doc_id", clean.clean_tier1("text").alias("text")))
+
+
 @query(" union all ".join(f"select '{m}' as metric, count(*) as n, {S.rounded(f'coalesce(sum(cast(floor({m} * 10000 + 0.5) as bigint))::double / count(*) / 10000, 0.0)')} as mean from (select {S.score_columns('text')} from documents) s" for m in METRICS))
 def rate_means(spark: SparkSession, d: str) -> DataFrame:
     """Means of the record-level rates over all documents."""

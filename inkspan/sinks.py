@@ -64,12 +64,15 @@ def write_articles(df: DataFrame, path: str) -> None:
 
 
 def write_report(df: DataFrame, path: str, limit: int = 100_000) -> None:
-    """A small table as one indented JSON file; larger ones raise, as they belong into write_jsonl."""
+    """A small table as one indented JSON file, on any file system; larger ones raise, as they belong into write_jsonl."""
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} rows are no report")
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump([r.asDict(recursive=True) for r in rows], f, indent=2, ensure_ascii=False, default=str)
+    sc = df.sparkSession.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(json.dumps([r.asDict(recursive=True) for r in rows], indent=2, ensure_ascii=False, default=str).encode()))
+    out.close()
 
 
 def export_summary(counts: DataFrame, pairs: DataFrame, order: str, samples: int = 5, width: int = 80) -> str:
