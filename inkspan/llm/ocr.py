@@ -246,7 +246,8 @@ class Decoder:
         self.pairs, self.pair_counts = lexicon.pairs, lexicon.pair_counts
         self.met: dict[int, int] = {}
         self.long = [w for w in words if len(w) > LONGEST - 4]
-        self.clean: set[str] = set()
+        #: Tokens that stand for themselves wherever they are, with their words; known or not, they are read alike.
+        self.clean: dict[str, list[str]] = {}
         self.parts: dict[str, list | None] = {}
         self.tokens: dict[str, tuple] = {}
 
@@ -360,10 +361,10 @@ class Decoder:
                 k = end + 1 if m else end
         result = (token[:at], parts, token[at + len(body) :], odd)
         self.tokens[token] = result
-        if not odd and all(c is None for _, _, c in parts):
+        if not odd and all(c is None for _, _, c in parts) and token[-1:] not in HYPHENS:
             if len(self.clean) > 400_000:
                 self.clean.clear()
-            self.clean.add(token)
+            self.clean[token] = [x.lower() for x, _, _ in parts]
         return result
 
     def _read(self, w: str) -> bool:
@@ -532,8 +533,8 @@ class Decoder:
         for k, t in enumerate(tokens):
             if t in self.clean:
                 looks.append(None)
-                words.append(t.lower().strip(MARKS + DOUBTFUL))
-                where.append((k, -1))
+                words += self.clean[t]
+                where += [(k, -1)] * len(self.clean[t])
                 continue
             got = self.look(t)
             looks.append(got)
@@ -545,10 +546,10 @@ class Decoder:
         if not some and not any(got and got[3] for got in looks):
             return tokens, wrong
         read = self.viterbi(words) if some else [w if isinstance(w, str) else w[0][0] for w in words]
-        out: list[list[str]] = [[] for _ in tokens]
+        # marks alone have no words
+        out: list[list[str]] = [[t] if got is None or not got[1] and not got[3] else [ODD.sub("", t)] if not got[1] else [] for t, got in zip(tokens, looks, strict=True)]
         for (k, j), r, w in zip(where, read, words, strict=True):
             if j < 0:
-                out[k] = [tokens[k]]
                 continue
             left, parts, right, odd = looks[k]
             x, sep, c = parts[j]

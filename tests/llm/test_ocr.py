@@ -139,3 +139,16 @@ def test_pairs_are_counted_exactly(spark):
     decoder = ocr.Decoder(found)
     assert decoder.together(ocr._pair(decoder.ids["northern"], decoder.ids["bridge"])) == 60
     assert decoder.together(ocr._pair(decoder.ids["bridge"], decoder.ids["northern"])) == 0
+
+
+def test_results_do_not_depend_on_the_order(spark, sf):
+    """The same noise and texts whatever a worker has read before."""
+    df = spark.read.parquet(f"{sf}/issues.parquet").where("raw_text is not null")
+    found = ocr.fit_pairs(df, "raw_text", ocr.fit_lexicon(df, "raw_text"))
+    rows = [(r.raw_text, r.newspaper) for r in df.select("raw_text", "newspaper").collect()]
+    one, other = ocr.Decoder(found), ocr.Decoder(found)
+    forward = [one.text(*r) for r in rows]
+    backward = [other.text(*r) for r in reversed(rows)]
+    assert forward == backward[::-1] == [one.text(*r) for r in rows]
+    noise, text = other.text("— the — two- masted well-known sh1p —", None)
+    assert text.count("—") == 3
