@@ -624,13 +624,14 @@ def _continued(paragraphs: list[list[str]]) -> list[list[str]]:
     return out
 
 
-def repair_pages(df: DataFrame, id_col: str, text_col: str, newspaper_col: str, lexicon: Lexicon | None = None) -> DataFrame:
+def repair_pages(df: DataFrame, id_col: str, text_col: str, newspaper_col: str, lexicon: Lexicon | None = None, prose_only: bool = False) -> DataFrame:
     """One row per input row: id, noise array<struct<line_no, noise>>, repaired string, verdict string.
 
     The noise of a line is any of ``hyphen``, ``header``, ``page_number``, ``misread``. Null texts give null, blank
     ones the empty text, both without noise; a null newspaper finds no headers. Repeated rows stay rows of their own.
-    Without a lexicon, one is fitted on the column. Three scans, no shuffle of texts: only word counts and the
-    fixed-size pair table are.
+    prose_only: texts whose verdict is ``not_prose`` are left as they are, without noise, for callers that don't want it.
+    Without a lexicon, one is fitted on the column. Three scans, no shuffle of texts: only counts of words and
+    of word pairs are.
     """
     if lexicon is None:
         lexicon = fit_pairs(df, text_col, fit_lexicon(df, text_col))
@@ -646,8 +647,9 @@ def repair_pages(df: DataFrame, id_col: str, text_col: str, newspaper_col: str,
                 if not text or not text.strip():
                     out.append((key, [], None if text is None else "", "empty"))
                     continue
-                noise, repaired = decoder.text(text, name)
-                out.append((key, [{"line_no": k, "noise": x} for k, x in noise], repaired, verdict_of(text)[2]))
+                verdict = verdict_of(text)[2]
+                noise, repaired = decoder.text(text, name) if verdict == "prose" or not prose_only else ([], text)
+                out.append((key, [{"line_no": k, "noise": x} for k, x in noise], repaired, verdict))
             return out
 
         return go

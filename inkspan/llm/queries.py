@@ -40,7 +40,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Noise by line of the issues that are prose."""
-    pages = ocr.repair_pages(table(spark, d, "issues", spread=True), "seq", "raw_text", "newspaper")
+    pages = ocr.repair_pages(table(spark, d, "issues", spread=True), "seq", "raw_text", "newspaper", prose_only=True)
     return pages.where("verdict <> 'not_prose'").select("seq", F.explode("noise").alias("x")).select("seq", "x.line_no", "x.noise")
 
 
