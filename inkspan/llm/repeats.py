@@ -5,11 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from itertools import count
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkspan.llm.quality import PAGE_BREAK
-from inkspan.session import cut_lineage
+from inkspan.session import cut_lineage, ship_package
 
 #: A line that is only a page number, in lower case: digits, or a Roman numeral, which no word is.
 PAGE_ONLY = r"^[^\p{L}]*(?:(?:page|pag|pág|p|seite|página|no)[^\p{L}]*)?(?:(?=[ivxlc])c{0,3}(?:x[cl]|l?x{0,3})(?:i[xv]|v?i{0,3})[^\p{L}]*)?$"
@@ -158,11 +159,17 @@ def repeated_lines(df: DataFrame, id_col: str, text_col: str, source_col: str, r
 def without_lines(df: DataFrame, id_col: str, text_col: str, lines: DataFrame) -> DataFrame:
     """(id, text): the texts without the given (doc, line_no); null texts stay null."""
     gone = lines.groupBy("doc").agg(F.collect_set("line_no").alias("gone"))
-    parts = F.split(F.col(f"`{text_col}`"), "\n")
-    kept = F.filter(F.transform(parts, lambda x, i: F.struct((i + 1).alias("i"), x.alias("x"))), lambda s: ~F.array_contains("gone", s["i"]))
-    joined = F.array_join(F.transform(kept, lambda s: s["x"]), "\n")
-    return (
-        df.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias(text_col))
-        .join(gone, "doc", "left")
-        .select(F.col("doc").alias(id_col), F.when(F.col("gone").isNull(), F.col(f"`{text_col}`")).otherwise(joined).alias("text"))
-    )
+    ship_package(df.sparkSession)
+
+    @F.pandas_udf("string")
+    def kept(texts: pd.Series, gone: pd.Series) -> pd.Series:
+        out = []
+        for t, numbers in zip(texts, gone, strict=True):
+            drop = set(numbers)
+            out.append("\n".join(x for k, x in enumerate(t.split("\n"), 1) if k not in drop))
+        return pd.Series(out, dtype=object)
+
+    both = df.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("_text")).join(gone, "doc", "left")
+    whole = F.col("gone").isNull() | F.col("_text").isNull()
+    joined = kept(F.coalesce("_text", F.lit("")), F.coalesce("gone", F.array().cast("array<int>")))
+    return both.select(F.col("doc").alias(id_col), F.when(whole, F.col("_text")).otherwise(joined).alias("text"))
