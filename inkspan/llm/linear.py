@@ -41,32 +41,35 @@ def _packed(buckets):
 
 @dataclass
 class Rows:
-    """Training rows, as flat lists of buckets with the rows they belong to."""
+    """Training rows: the buckets of all rows, one row after the other, and how many each has."""
 
     flat: np.ndarray
-    row: np.ndarray
-    n: int
+    sizes: np.ndarray
 
     @classmethod
     def of(cls, buckets: list[list[int]]) -> Rows:
         flat, _, counts = _packed(buckets)
-        return cls(flat.astype(np.int32), np.repeat(np.arange(len(buckets), dtype=np.int32), counts), len(buckets))
+        return cls(flat.astype(np.uint16), counts)
 
     @classmethod
     def of_lists(cls, column) -> Rows:
         """From an Arrow column of lists."""
         lists = column.combine_chunks()
-        return cls(lists.flatten().to_numpy().astype(np.int32), np.repeat(np.arange(len(lists), dtype=np.int32), lists.value_lengths().to_numpy()), len(lists))
+        return cls(lists.flatten().to_numpy().astype(np.uint16), lists.value_lengths().to_numpy().astype(np.int64))
+
+    def __len__(self) -> int:
+        return len(self.sizes)
 
     def margins(self, first: np.ndarray, second: np.ndarray, which: np.ndarray) -> np.ndarray:
         """Log odds of each row by the first or the second weights, as ``which`` says."""
-        return np.where(which == 0, *(np.bincount(self.row, w[self.flat], self.n) for w in (first, second)))
+        starts = np.cumsum(self.sizes) - self.sizes
+        return np.where(which == 0, *(np.add.reduceat(w[self.flat], starts) for w in (first, second)))
 
     def fit(self, y: np.ndarray, weight: np.ndarray, l2: float, rounds: int, rate: float, least: int) -> np.ndarray:
         """Weights of one label by logistic regression: full-batch Adam, deterministic. y: 0 or 1; rows of weight 0
         don't count. Features of fewer than ``least`` rows get no weight: they could only recall single rows."""
-        used = weight[self.row] > 0
-        flat, row = self.flat[used], self.row[used]
+        used = weight > 0
+        flat, row = self.flat[np.repeat(used, self.sizes)], np.repeat(np.flatnonzero(used).astype(np.int32), self.sizes[used])
         active = np.flatnonzero(np.bincount(flat, minlength=MASK + 1) >= least)
         column = np.full(MASK + 1, -1, np.int32)
         column[active] = np.arange(len(active))
@@ -76,7 +79,7 @@ class Rows:
         weight = weight / max(weight.sum(), 1e-12)
         w, m, v = np.zeros(len(active)), np.zeros(len(active)), np.zeros(len(active))
         for t in range(1, rounds + 1):
-            p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[flat], self.n), -30, 30)))
+            p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[flat], len(self)), -30, 30)))
             g = np.bincount(flat, ((p - y) * weight)[row], len(active)) + l2 * w
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
