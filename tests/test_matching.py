@@ -50,3 +50,17 @@ def test_preview_and_fewer_than_wanted(spark):
     assert {tuple(x) for x in articles.retrieve(q, r).collect()} == {(1, 0, 1, 1), (1, 1, 1, 2), (1, 2, 1, 3)}
     assert {tuple(x) for x in articles.retrieve(q, r, preview=8).collect()} == {(1, 0, 1, 1)}
     assert {tuple(x) for x in articles.retrieve(q, r, top=1).collect()} == {(1, 0, 1, 1)}
+
+
+def test_excerpts_are_not_shuffled(spark):
+    """The hits go to the records, however large they are held to be."""
+    q, r = frames(spark, [(1, "late word"), (2, None)], [(k, None, None, "late") for k in range(7)])
+    found = articles.excerpts_prompt(articles.retrieve(q, r), q, r)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = found.select("*")._jdf.queryExecution().executedPlan().toString()
+        got = {x.query_id: (x.records, x.prompt.count("ark_id: r")) for x in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin [seq" in plan and got == {1: (5, 5), 2: (0, 0)}
